@@ -4,72 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from namefold.functions.kernels import lcs_in_chunks
 from namefold.functions.text import token_key
 
-_WORD = 64
-_CELLS_PER_CHUNK = 1 << 21
-
-
-def _code_points(strings: np.ndarray, width: int, pad: int) -> np.ndarray:
-    flat = np.asarray(strings, dtype=f"<U{width}").view(np.uint32).reshape(len(strings), width)
-    lengths = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
-    return np.where(np.arange(width) < lengths[:, None], flat, np.uint32(pad))
-
-
-def lcs_lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Longest-common-subsequence length of each pair, all pairs advanced together.
-
-    Bit-vector method (Hyyro, "Bit-parallel LCS-length computation revisited", 2004) with one row of
-    64-bit words per pair.
-    """
-    len_a = np.fromiter(map(len, a), dtype=np.int64, count=len(a))
-    width_a = max(_WORD, -(-int(len_a.max(initial=0)) // _WORD) * _WORD)
-    width_b = max(1, max(map(len, b), default=0))
-    left, right = _code_points(a, width_a, 0xFFFFFFFE), _code_points(b, width_b, 0xFFFFFFFF)
-    words = width_a // _WORD
-    state = np.full((len(a), words), np.uint64(0xFFFFFFFFFFFFFFFF))
-    for at in range(width_b):
-        hits = np.packbits(left == right[:, at : at + 1], axis=1, bitorder="little").view("<u8")
-        carry = np.zeros(len(a), dtype=np.uint64)
-        for w in range(words):
-            row = state[:, w]
-            common = row & hits[:, w]
-            total = row + common
-            overflow = total < row
-            total = total + carry
-            overflow |= total < carry
-            state[:, w] = total | (row & ~hits[:, w])
-            carry = overflow.astype(np.uint64)
-    zeros = np.unpackbits(np.ascontiguousarray(~state).view(np.uint8), axis=1, bitorder="little")
-    return np.where(np.arange(width_a) < len_a[:, None], zeros, 0).sum(axis=1)
-
-
-def _lcs_in_chunks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    # Pairs of like length share a chunk, so one long text does not widen the matrix of all others.
-    longest = np.fromiter((max(len(x), len(y), _WORD) for x, y in zip(a, b)), np.int64, len(a))
-    order = np.argsort(longest, kind="stable")
-    out = np.zeros(len(a), dtype=np.int32)
-    start = 0
-    while start < len(order):
-        stop = start + 1
-        while stop < len(order) and longest[order[stop]] * (stop + 1 - start) <= _CELLS_PER_CHUNK:
-            stop += 1
-        pick = order[start:stop]
-        out[pick] = lcs_lengths(a[pick], b[pick])
-        start = stop
-    return out
-
-
 @F.pandas_udf(IntegerType())
 def lcs_length(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in batches:
-        yield pd.Series(_lcs_in_chunks(a.fillna("").to_numpy(object), b.fillna("").to_numpy(object)))
+        yield pd.Series(lcs_in_chunks(a.fillna("").to_numpy(object), b.fillna("").to_numpy(object)))
 
 
 def sorted_token_lcs(a: Column, b: Column) -> Column:

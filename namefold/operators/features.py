@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from namefold.functions.kernels import pack_vectors
 from namefold.functions.text import char_wb_grams
 from namefold.workspace import Workspace
 
@@ -106,15 +107,16 @@ def weighted_terms(terms: DataFrame, model: GramModel, broadcast_bytes: int) ->
 
 
 def vectors(weights: DataFrame, threshold: float) -> DataFrame:
-    """One row per vector: ``(gid, size, grams, weights, prefix)``, all ordered rare grams first.
+    """One row per vector: ``(gid, size, terms, sketch, prefix)``.
 
-    ``prefix`` holds the entries a pair above ``threshold`` must meet in (see ``simjoin``).
+    ``terms`` is the packed vector, 16 bytes per gram; ``sketch`` its norms in 128 gram buckets. ``prefix``,
+    ordered rare grams first, holds the entries a pair above ``threshold`` must meet in (see ``simjoin``).
     """
     packed = weights.groupBy("gid", "size").agg(
         F.sort_array(F.collect_list(F.struct("gram_id", "w", "tail"))).alias("terms")
     )
     long_tail = F.filter("terms", lambda t: t["tail"] > threshold - 1e-6)
-    return packed.select(
+    lists = packed.select(
         "gid",
         "size",
         F.col("terms.gram_id").alias("grams"),
@@ -123,3 +125,8 @@ def vectors(weights: DataFrame, threshold: float) -> DataFrame:
             long_tail, lambda t: F.struct(t["gram_id"].alias("gram_id"), t["tail"].alias("tail"))
         ).alias("prefix"),
     )
+    return lists.mapInArrow(
+        pack_vectors,
+        "gid bigint, size bigint, terms binary, sketch binary, "
+        "prefix array<struct<gram_id: bigint, tail: double>>",
+    )

@@ -12,14 +12,12 @@ so the result has all pairs above the threshold and nothing else.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from namefold.config import ResolveConfig
+from namefold.functions.kernels import dot_products, sketch_filter
 from namefold.workspace import Workspace
 
 DECIMALS = 9  # similarities are rounded before they are compared or ranked
@@ -88,54 +86,41 @@ def _spread(entries: DataFrame, hot: DataFrame, own: str, other: str) -> DataFra
     )
 
 
-def _dot_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Dot product per row of two sparse vectors whose gram ids ascend."""
-    for batch in batches:
-        rows = batch.num_rows
-        keys, values = [], []
-        for side in ("a", "b"):
-            grams, weights = batch.column(f"{side}_grams"), batch.column(f"{side}_weights")
-            counts = grams.value_lengths().to_numpy(zero_copy_only=False)
-            keys.append((np.repeat(np.arange(rows), counts), grams.flatten().to_numpy()))
-            values.append(weights.flatten().to_numpy())
-        (row_a, gram_a), (row_b, gram_b) = keys
-        known, code = np.unique(np.concatenate([gram_a, gram_b]), return_inverse=True)
-        code_a = row_a * len(known) + code[: len(gram_a)]
-        code_b = row_b * len(known) + code[len(gram_a) :]
-        dots = np.zeros(rows)
-        if len(code_a) and len(code_b):
-            at = np.minimum(np.searchsorted(code_a, code_b), len(code_a) - 1)
-            shared = code_a[at] == code_b
-            products = values[0][at[shared]] * values[1][shared]
-            dots = np.bincount(row_b[shared], weights=products, minlength=rows)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(dots, pa.float64())], names=["a", "b", "sim"]
-        )
+def _with_both_sides(pairs: DataFrame, vectors: DataFrame, column: str, broadcast: bool) -> DataFrame:
+    for side in ("a", "b"):
+        known = vectors.select(F.col("gid").alias(side), F.col(column).alias(f"{side}_{column}"))
+        pairs = pairs.join(F.broadcast(known) if broadcast else known, side)
+    return pairs.select("a", "b", f"a_{column}", f"b_{column}")
 
 
-def verified_pairs(candidates: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
-    """Candidates with their exact cosine, kept strictly above ``threshold``."""
-    sides = candidates
-    for side in ("a", "b"):
-        sides = sides.join(
-            vectors.select(
-                F.col("gid").alias(side),
-                F.col("grams").alias(f"{side}_grams"),
-                F.col("weights").alias(f"{side}_weights"),
-            ),
-            side,
-        )
-    sides = sides.select("a", "b", "a_grams", "a_weights", "b_grams", "b_weights")
-    dots = sides.mapInArrow(_dot_products, "a bigint, b bigint, sim double")
+def verified_pairs(
+    candidates: DataFrame, vectors: DataFrame, threshold: float, small: bool = False
+) -> DataFrame:
+    """Candidates with their exact cosine, kept strictly above ``threshold``.
+
+    Sketches of 128 bytes rule out most candidates, so few of them ever meet the whole vectors. With
+    ``small`` (vectors of a checked size) candidates stay where they are; otherwise they are placed by one
+    side after the other.
+    """
+    sketched = _with_both_sides(candidates, vectors, "sketch", small)
+    likely = sketched.mapInArrow(sketch_filter(threshold), "a bigint, b bigint")
+    dots = _with_both_sides(likely, vectors, "terms", small).mapInArrow(
+        dot_products, "a bigint, b bigint, sim double"
+    )
     return dots.withColumn("sim", F.round("sim", DECIMALS)).filter(F.col("sim") > threshold)
 
 
 def cosine_pairs(
-    vectors: DataFrame, threshold: float, cfg: ResolveConfig, ws: Workspace, most_entries: int
+    vectors: DataFrame,
+    threshold: float,
+    cfg: ResolveConfig,
+    ws: Workspace,
+    most_entries: int,
+    vector_bytes: int,
 ) -> DataFrame:
     """All pairs ``(a, b, sim)``, ``a < b``, of vectors with cosine strictly above ``threshold``."""
     candidates = candidate_pairs(vectors, threshold, cfg, ws, most_entries)
-    return verified_pairs(candidates, vectors, threshold)
+    return verified_pairs(candidates, vectors, threshold, vector_bytes <= cfg.broadcast_bytes)
 
 
 def cosine_pairs_by_full_index(weights: DataFrame, threshold: float) -> DataFrame:

@@ -25,6 +25,7 @@ class Model:
     grams: features.GramModel
     weights: DataFrame  # not written; recomputed where it is read
     vectors: DataFrame
+    vector_bytes: int
 
 
 @dataclass(frozen=True)
@@ -53,14 +54,20 @@ def fit_model(
     terms = features.term_counts(names.first_of_group(members), params.ngram_range)
     grams = features.fit(terms, documents, cfg.max_df, ws)
     weights = features.weighted_terms(terms, grams, cfg.broadcast_bytes)
-    vectors, _ = ws.save(features.vectors(weights, params.threshold), "vectors")
+    vectors, seen = ws.save(
+        features.vectors(weights, params.threshold),
+        "vectors",
+        bytes=F.coalesce(F.sum(F.octet_length("terms") + 96), F.lit(0)),
+    )
     if shared and grams.dropped:
         members = _unlink_empty(members, vectors)
-    return Model(members, shared, grams, weights, vectors)
+    return Model(members, shared, grams, weights, vectors, seen["bytes"])
 
 
 def neighbour_ranking(model: Model, params: PassParams, cfg: ResolveConfig, ws: Workspace) -> DataFrame:
-    pairs = simjoin.cosine_pairs(model.vectors, params.threshold, cfg, ws, model.grams.max_df)
+    pairs = simjoin.cosine_pairs(
+        model.vectors, params.threshold, cfg, ws, model.grams.max_df, model.vector_bytes
+    )
     return neighbours.ranked_neighbours(pairs, model.vectors, model.members, params.top_n, model.shared)
 
 
