@@ -21,22 +21,14 @@ def token_key(name: Column) -> Column:
     return F.array_join(F.array_sort(tokens(name)), " ")
 
 
-def _word_grams(padded: Column, lo: int, hi: int) -> Column:
-    # A word not longer than n gives itself once and takes part in no larger n.
-    length = F.length(padded)
-    sizes = F.sequence(F.lit(lo), F.least(F.lit(hi), F.greatest(F.lit(lo), length)))
-    return F.flatten(
-        F.transform(
-            sizes,
-            lambda n: F.transform(
-                F.sequence(F.lit(0), F.greatest(F.lit(0), length - n)),
-                lambda at: F.substring(padded, at + 1, n),
-            ),
-        )
-    )
-
+def char_wb_grams(words: str, lo: int, hi: int) -> Column:
+    """Character n-grams of an array column of words, each word padded with a space on both sides.
 
-def char_wb_grams(name: Column, lo: int, hi: int) -> Column:
-    """Character n-grams inside word boundaries: each word is padded with a space on both sides."""
-    padded = F.transform(tokens(F.lower(name)), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
-    return F.flatten(F.transform(padded, lambda w: _word_grams(w, lo, hi)))
+    A word not longer than n gives itself once and takes part in no larger n.
+    """
+    sizes = f"sequence({lo}, least({hi}, greatest({lo}, length(p))))"
+    starts = "sequence(1, greatest(1, length(p) - n + 1))"
+    return F.expr(
+        f"flatten(transform({words}, w -> flatten(transform(array(concat(' ', w, ' ')), p -> "
+        f"flatten(transform({sizes}, n -> transform({starts}, at -> substring(p, at, n))))))))"
+    )

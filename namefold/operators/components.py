@@ -12,49 +12,37 @@ from pyspark.sql import functions as F
 from namefold.workspace import Workspace
 
 
-def _smallest(edges: DataFrame, node: str, low: str) -> DataFrame:
-    # Aggregated before the exchange: a hub sends one row per task, not one per edge.
-    return edges.groupBy(F.col("u").alias(node)).agg(F.min("v").alias(low))
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Link the larger neighbours of each node to the smallest one around it."""
-    low = _smallest(edges, "v", "low")
-    return edges.join(low, "v", "left").select("u", F.coalesce("low", "v").alias("v")).distinct()
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Link the smaller neighbours of each node, and the node, to the smallest of them."""
-    low = _smallest(edges, "u", "low")
-    is_low = F.col("v") == F.col("low")
-    linked = edges.join(low, "u").select(
-        F.when(is_low, F.col("u")).otherwise(F.col("v")).alias("u"), F.col("low").alias("v")
-    )
-    return linked.distinct()
-
+# Large star: the larger neighbours of a node are linked to the smallest node around it. Small star: the
+# smaller neighbours of a node, and the node itself, are linked to the smallest of them. Both map every
+# edge to one edge. The smallest neighbours are aggregated before the exchange, so a hub sends one row per
+# task; nodes without a smaller neighbour, such as the label of a giant component, match nothing.
+_ROUND = """
+with large as (
+  select e.u, coalesce(l.low, e.v) as v
+  from {edges} e left join (select u, min(v) as low from {edges} group by u) l on e.v = l.u
+)
+select distinct case when e.v = s.low then e.u else e.v end as u, s.low as v
+from large e join (select u, min(v) as low from large group by u) s on e.u = s.u
+"""
 
-def _is_settled(edges: DataFrame) -> bool:
-    """Every node is either a label or linked to exactly one."""
-    ends = edges.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
-                F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")),
-            )
-        )
-    )
-    ups = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-    return ups.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
+# Nodes linked to more than one smaller node, or linked to one and also the smaller end of an edge.
+_UNSETTLED = """
+select count(*) as nodes from (
+  select node from (
+    select u as node, 1 as up, 0 as down from {edges} union all select v, 0, 1 from {edges})
+  group by node having sum(up) > 1 or (max(up) = 1 and max(down) = 1))
+"""
 
 
 def connected_components(edges: DataFrame, ws: Workspace) -> DataFrame:
     """Labels ``(node, root)`` of all nodes that are not the smallest of their component.
 
-    ``edges`` must be a written table. The driver only sees whether a round still changes something.
+    ``edges`` must be a written table. The driver only sees how many nodes a further round would move.
     """
+    spark = edges.sparkSession
     current, written = edges, False
-    while not _is_settled(current):
-        following, _ = ws.save(_small_star(_large_star(current)), "star")
+    while spark.sql(_UNSETTLED, edges=current).first()["nodes"]:
+        following, _ = ws.save(spark.sql(_ROUND, edges=current), "star")
         if written:
             ws.discard(current)
         current, written = following, True

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from namefold.functions.kernels import pack_vectors
-from namefold.functions.text import char_wb_grams
+from namefold.functions.text import char_wb_grams, tokens
 from namefold.workspace import Workspace
 
 
@@ -29,7 +29,8 @@ class GramModel:
 def name_grams(groups: DataFrame, ngram_range: tuple[int, int]) -> DataFrame:
     """One row per n-gram occurrence."""
     lo, hi = ngram_range
-    return groups.select("gid", "size", F.explode(char_wb_grams(F.col("cleaned_name"), lo, hi)).alias("gram"))
+    words = groups.select("gid", "size", tokens(F.lower("cleaned_name")).alias("words"))
+    return words.select("gid", "size", F.explode(char_wb_grams("words", lo, hi)).alias("gram"))
 
 
 def term_counts(groups: DataFrame, ngram_range: tuple[int, int]) -> DataFrame:

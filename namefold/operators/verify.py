@@ -31,15 +31,14 @@ def anchor_verdicts(labels: DataFrame, members: DataFrame, min_score: int) -> Da
 
 
 def split_weak_members(members: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Names with component root and verified label: ``(id, cleaned_name, root, label)``.
+    """Names with component root and verified label: ``(id, cleaned_name, token_key, root, label)``.
 
     Each weak name becomes a cluster of its own; weak names are not grouped with each other again.
     """
     judged = members.join(verdicts, "gid", "left").withColumn("root", F.coalesce("root", "gid"))
     weak = F.coalesce("weak", F.lit(False))
-    return judged.select(
-        "id", "cleaned_name", "root", F.when(weak, F.col("id")).otherwise(F.col("root")).alias("label")
-    )
+    label = F.when(weak, F.col("id")).otherwise(F.col("root"))
+    return judged.select("id", "cleaned_name", "token_key", "root", label.alias("label"))
 
 
 def representatives(df: DataFrame, name_col: str = "cleaned_name", cluster_col: str = "cluster_id") -> DataFrame:

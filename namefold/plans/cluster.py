@@ -30,7 +30,7 @@ class Model:
 
 @dataclass(frozen=True)
 class PassResult:
-    labels: DataFrame  # id, cleaned_name, root (component), label (after verification)
+    labels: DataFrame  # id, cleaned_name, token_key, root (component), label (after verification)
     clusters: int
 
 
@@ -92,10 +92,9 @@ def cluster_pass(
     return PassResult(labels, seen["clusters"])
 
 
-def representatives_of(numbered: DataFrame, result: PassResult) -> DataFrame:
+def representatives_of(result: PassResult) -> DataFrame:
     """The names that stand for a cluster: those labelled with their own id."""
-    kept = result.labels.filter(F.col("id") == F.col("label")).select("id")
-    return numbered.join(kept, "id", "left_semi")
+    return result.labels.filter(F.col("id") == F.col("label")).select("id", "cleaned_name", "token_key")
 
 
 def run_rounds(cleaned: DataFrame, cfg: ResolveConfig, ws: Workspace, upto: int = 3) -> list[PassResult]:
@@ -105,7 +104,7 @@ def run_rounds(cleaned: DataFrame, cfg: ResolveConfig, ws: Workspace, upto: int
     for params in (cfg.precision, cfg.recall, cfg.merge)[:upto]:
         result = cluster_pass(numbered, documents, params, cfg, ws)
         results.append(result)
-        numbered, documents = representatives_of(numbered, result), result.clusters
+        numbered, documents = representatives_of(result), result.clusters
     return results
 
 
