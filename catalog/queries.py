@@ -57,7 +57,7 @@ class Stages:
 
     @cached_property
     def terms(self) -> DataFrame:
-        return features.term_counts(self.single, self.cfg.precision.ngram_range)
+        return features.term_counts(self.single, self.numbered[1], self.cfg.precision.ngram_range)
 
     @cached_property
     def grams(self) -> features.GramModel:

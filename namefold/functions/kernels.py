@@ -61,63 +61,45 @@ def lcs_in_chunks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-_BUCKETS = 128
+PLANES, WORDS = 4, 2  # bits per level, 64-bit words per bit plane
+_BUCKETS = 64 * WORDS
 _TERM = np.dtype([("gram", "<i8"), ("w", "<f8")])
 
 
-def _fixed_binary(values: np.ndarray) -> pa.Array:
-    """One binary value per row of a 2-d byte array."""
-    ends = np.arange(len(values) + 1, dtype="<i4") * values.shape[1]
-    buffers = [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))]
-    return pa.Array.from_buffers(pa.binary(), len(values), buffers)
-
-
-def _sketches(row: np.ndarray, terms: np.ndarray, rows: int) -> np.ndarray:
-    """Norm of each vector inside each of 128 gram buckets, rounded up to 1/255."""
-    bucket = row * _BUCKETS + terms["gram"] % _BUCKETS
-    squares = np.bincount(bucket, weights=terms["w"] ** 2, minlength=rows * _BUCKETS)
-    levels = np.ceil(np.sqrt(squares) * 255 - 1e-9)
-    return np.minimum(levels, 255).astype(np.uint8).reshape(rows, _BUCKETS)
-
-
 def pack_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the lists ``grams`` and ``weights`` by binary values, which move without per-item work."""
+    """Turn the lists ``grams`` and ``weights`` into one binary value and a sketch of fixed size.
+
+    The grams fall into 128 buckets. The norm of the vector inside each bucket is rounded up to 0..15
+    times ``unit``; ``s0..s7`` hold the bit planes of these levels, two words per plane. Inside a bucket
+    the dot product of two vectors is at most the product of their norms (Cauchy-Schwarz), so the dot
+    product of the levels bounds that of the vectors, and bit counts are enough to compute it.
+    """
     for batch in batches:
-        grams, weights = batch.column("grams"), batch.column("weights")
+        rows, grams, weights = batch.num_rows, batch.column("grams"), batch.column("weights")
         terms = np.empty(len(grams.flatten()), _TERM)
         terms["gram"], terms["w"] = grams.flatten().to_numpy(), weights.flatten().to_numpy()
         counts = grams.value_lengths().to_numpy(False)
         ends = np.concatenate([[0], np.cumsum(counts)]) * _TERM.itemsize
         buffers = [None, pa.py_buffer(ends.astype("<i4")), pa.py_buffer(terms)]
-        packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers)
-        sketch = _sketches(np.repeat(np.arange(batch.num_rows), counts), terms, batch.num_rows)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("gid"), batch.column("size"), packed, _fixed_binary(sketch), batch.column("prefix")],
-            names=["gid", "size", "terms", "sketch", "prefix"],
-        )
-
+        bucket = np.repeat(np.arange(rows), counts) * _BUCKETS + terms["gram"] % _BUCKETS
+        squares = np.bincount(bucket, weights=terms["w"] ** 2, minlength=rows * _BUCKETS)
+        norms = np.sqrt(squares).reshape(rows, _BUCKETS)
+        unit = np.maximum(norms.max(axis=1, initial=0), 1e-12) / (2**PLANES - 1)
+        levels = np.ceil(norms / unit[:, None] - 1e-9).astype(np.uint8)
+        words = []
+        for plane in range(PLANES):
+            bits = np.packbits((levels >> plane) & 1, axis=1, bitorder="little").view("<i8")
+            words += [pa.array(np.ascontiguousarray(bits[:, w])) for w in range(WORDS)]
+        columns = {
+            "gid": batch.column("gid"),
+            "size": batch.column("size"),
+            "terms": pa.Array.from_buffers(pa.binary(), rows, buffers),
+            "unit": pa.array(unit),
+            **{f"s{i}": word for i, word in enumerate(words)},
+            "prefix": batch.column("prefix"),
+        }
+        yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-def sketch_filter(threshold: float):
-    """Drop pairs whose sketches already show a dot product of at most ``threshold``.
-
-    By Cauchy-Schwarz inside each bucket the product of two sketches bounds the dot product from above.
-    """
-    limit = np.float32((threshold - 1e-4) * 255 * 255)
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sides = []
-            for name in ("a_sketch", "b_sketch"):
-                column = batch.column(name)
-                start, data = column.offset * _BUCKETS, column.buffers()[2]
-                flat = np.frombuffer(data, np.uint8)[start : start + len(column) * _BUCKETS]
-                sides.append(flat.reshape(-1, _BUCKETS).astype(np.float32))
-            bound = np.einsum("ij,ij->i", *sides)
-            yield batch.select(["a", "b"]).filter(pa.array(bound > limit))
-
-    return keep
 
 def _unpack(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Term counts per row and the terms of all rows, without copying."""

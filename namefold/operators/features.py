@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from namefold.functions.kernels import pack_vectors
+from namefold.functions.kernels import PLANES, WORDS, pack_vectors
 from namefold.functions.text import char_wb_grams, tokens
 from namefold.workspace import Workspace
 
@@ -33,12 +33,23 @@ def name_grams(groups: DataFrame, ngram_range: tuple[int, int]) -> DataFrame:
     return words.select("gid", "size", F.explode(char_wb_grams("words", lo, hi)).alias("gram"))
 
 
-def term_counts(groups: DataFrame, ngram_range: tuple[int, int]) -> DataFrame:
+def _tasks(spark: SparkSession, names: int) -> int:
+    """Tasks for exploding ``names`` names: all slots once it is worth it, later a bounded load per task.
+
+    Set here because a name is small and its grams are many: sizing by input bytes would give a few huge
+    tasks.
+    """
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(slots, names // 1000), names // 50_000)
+
+
+def term_counts(groups: DataFrame, names: int, ngram_range: tuple[int, int]) -> DataFrame:
     """Occurrences per (name, gram).
 
     The names are placed by id before they are exploded, so the count needs no exchange of the grams.
     """
-    grams = name_grams(groups.repartition("gid"), ngram_range)
+    placed = groups.repartition(_tasks(groups.sparkSession, names), "gid")
+    grams = name_grams(placed, ngram_range)
     return grams.groupBy("gid", "size", "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -108,26 +119,26 @@ def weighted_terms(terms: DataFrame, model: GramModel, broadcast_bytes: int) ->
 
 
 def vectors(weights: DataFrame, threshold: float) -> DataFrame:
-    """One row per vector: ``(gid, size, terms, sketch, prefix)``.
+    """One row per vector: ``(gid, size, terms, unit, s0..s7, prefix)``.
 
-    ``terms`` is the packed vector, 16 bytes per gram; ``sketch`` its norms in 128 gram buckets. ``prefix``,
-    ordered rare grams first, holds the entries a pair above ``threshold`` must meet in (see ``simjoin``).
+    ``terms`` is the packed vector, 16 bytes per gram, and ``unit, s0..s7`` its sketch (see ``pack_vectors``).
+    ``prefix``, rare grams first, holds the entries a pair above ``threshold`` must meet in (see
+    ``simjoin``).
     """
     packed = weights.groupBy("gid", "size").agg(
         F.sort_array(F.collect_list(F.struct("gram_id", "w", "tail"))).alias("terms")
     )
-    long_tail = F.filter("terms", lambda t: t["tail"] > threshold - 1e-6)
+    prefix = "transform(filter(terms, t -> t.tail > {limit}), t -> struct(t.gram_id as gram_id, t.tail as tail))"
     lists = packed.select(
         "gid",
         "size",
         F.col("terms.gram_id").alias("grams"),
         F.col("terms.w").alias("weights"),
-        F.transform(
-            long_tail, lambda t: F.struct(t["gram_id"].alias("gram_id"), t["tail"].alias("tail"))
-        ).alias("prefix"),
+        F.expr(prefix.format(limit=f"{threshold - 1e-6:.17e}D")).alias("prefix"),
     )
     return lists.mapInArrow(
         pack_vectors,
-        "gid bigint, size bigint, terms binary, sketch binary, "
-        "prefix array<struct<gram_id: bigint, tail: double>>",
+        "gid bigint, size bigint, terms binary, unit double, "
+        + "".join(f"s{i} bigint, " for i in range(PLANES * WORDS))
+        + "prefix array<struct<gram_id: bigint, tail: double>>",
     )

@@ -17,15 +17,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from namefold.config import ResolveConfig
-from namefold.functions.kernels import dot_products, sketch_filter
+from namefold.functions.kernels import PLANES, WORDS, dot_products
 from namefold.workspace import Workspace
 
 DECIMALS = 9  # similarities are rounded before they are compared or ranked
 _SLACK = 1e-6
 
 
+SKETCH = ("unit", *(f"s{i}" for i in range(PLANES * WORDS)))
+
+
 def index_entries(vectors: DataFrame) -> DataFrame:
-    return vectors.select("gid", F.explode("prefix").alias("e")).select("gid", "e.gram_id", "e.tail")
+    entries = vectors.select("gid", *SKETCH, F.explode("prefix").alias("e"))
+    return entries.select("gid", *SKETCH, "e.gram_id", "e.tail")
+
+
+def _sketch_bound() -> str:
+    """Upper bound of the cosine of ``x`` and ``y``: the dot product of their levels, plane by plane."""
+    products = [
+        f"shiftleft(bit_count(x.s{p * WORDS + w} & y.s{q * WORDS + w}), {p + q})"
+        for p in range(PLANES)
+        for q in range(PLANES)
+        for w in range(WORDS)
+    ]
+    return f"x.unit * y.unit * ({' + '.join(products)})"
 
 
 def block_counts(entries: DataFrame, early_tail: float, block_rows: int) -> DataFrame:
@@ -64,13 +79,18 @@ def candidate_pairs(
             keys = ["gram_id", "early_block", "all_block"]
             left = _spread(left, hot, own="early", other="all")
             right = _spread(right, hot, own="all", other="early")
-    left = left.select(*keys, F.col("gid").alias("x"), F.col("tail").alias("x_tail"))
-    right = right.select(*keys, F.col("gid").alias("y"), F.col("tail").alias("y_tail"))
-    viable = F.col("x_tail") * F.col("y_tail") > threshold - _SLACK
-    # Two early entries meet from both sides; one of the two is enough.
-    once = (F.col("y_tail") <= early_tail) | (F.col("x") < F.col("y"))
-    met = left.join(right, keys).filter(viable & once)
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    left, right = left.alias("x"), right.alias("y")
+    on = " and ".join(f"x.{k} = y.{k}" for k in keys)
+    met = left.join(
+        right,
+        F.expr(
+            f"""{on} and x.tail * y.tail > {threshold - _SLACK:.17e}D
+            -- two early entries meet from both sides; one of the two is enough
+            and (y.tail <= {early_tail:.17e}D or x.gid < y.gid)
+            and {_sketch_bound()} > {threshold - _SLACK:.17e}D"""
+        ),
+    )
+    return met.selectExpr("least(x.gid, y.gid) as a", "greatest(x.gid, y.gid) as b").distinct()
 
 
 def _spread(entries: DataFrame, hot: DataFrame, own: str, other: str) -> DataFrame:
@@ -78,35 +98,26 @@ def _spread(entries: DataFrame, hot: DataFrame, own: str, other: str) -> DataFra
     own_blocks = F.coalesce(F.col(f"{own}_blocks"), F.lit(1))
     other_blocks = F.coalesce(F.col(f"{other}_blocks"), F.lit(1))
     return entries.join(hot, "gram_id", "left").select(
-        "gid",
-        "gram_id",
-        "tail",
+        *entries.columns,
         F.pmod(F.xxhash64("gid"), own_blocks).alias(f"{own}_block"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), other_blocks - 1)).alias(f"{other}_block"),
     )
 
 
-def _with_both_sides(pairs: DataFrame, vectors: DataFrame, column: str, broadcast: bool) -> DataFrame:
-    for side in ("a", "b"):
-        known = vectors.select(F.col("gid").alias(side), F.col(column).alias(f"{side}_{column}"))
-        pairs = pairs.join(F.broadcast(known) if broadcast else known, side)
-    return pairs.select("a", "b", f"a_{column}", f"b_{column}")
-
-
 def verified_pairs(
     candidates: DataFrame, vectors: DataFrame, threshold: float, small: bool = False
 ) -> DataFrame:
     """Candidates with their exact cosine, kept strictly above ``threshold``.
 
-    Sketches of 128 bytes rule out most candidates, so few of them ever meet the whole vectors. With
-    ``small`` (vectors of a checked size) candidates stay where they are; otherwise they are placed by one
-    side after the other.
+    With ``small`` (vectors of a checked size) candidates stay where they are; otherwise they are placed by
+    one side after the other.
     """
-    sketched = _with_both_sides(candidates, vectors, "sketch", small)
-    likely = sketched.mapInArrow(sketch_filter(threshold), "a bigint, b bigint")
-    dots = _with_both_sides(likely, vectors, "terms", small).mapInArrow(
-        dot_products, "a bigint, b bigint, sim double"
-    )
+    sides = candidates
+    for side in ("a", "b"):
+        known = vectors.select(F.col("gid").alias(side), F.col("terms").alias(f"{side}_terms"))
+        sides = sides.join(F.broadcast(known) if small else known, side)
+    sides = sides.select("a", "b", "a_terms", "b_terms")
+    dots = sides.mapInArrow(dot_products, "a bigint, b bigint, sim double")
     return dots.withColumn("sim", F.round("sim", DECIMALS)).filter(F.col("sim") > threshold)
 
 

@@ -51,7 +51,7 @@ def fit_model(
 ) -> Model:
     """TF-IDF vectors of ``numbered`` (id, cleaned_name, token_key), fitted on these names alone."""
     members, shared = names.token_groups(numbered, ws)
-    terms = features.term_counts(names.first_of_group(members), params.ngram_range)
+    terms = features.term_counts(names.first_of_group(members), documents, params.ngram_range)
     grams = features.fit(terms, documents, cfg.max_df, ws)
     weights = features.weighted_terms(terms, grams, cfg.broadcast_bytes)
     vectors, seen = ws.save(

@@ -181,7 +181,7 @@ def test_idf_and_cut_match_plain_version(spark, ws):
     values = sorted(set(random_names(40, 5)))
     numbered, count = names.number_names(cleaned_frame(spark, values), ws)
     single = numbered.select(F.col("id").alias("gid"), F.lit(1).cast("bigint").alias("size"), "cleaned_name")
-    terms = features.term_counts(single, (2, 4))
+    terms = features.term_counts(single, count, (2, 4))
     model = features.fit(terms, count, 0.3, ws)
     weights = features.weighted_terms(terms, model, 0)
     got = {(r["cleaned_name"], r["gram"]): r["w"] for r in weights.join(numbered, F.col("gid") == F.col("id")).collect()}
