@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from namefold.config import PassParams, ResolveConfig
@@ -117,8 +117,8 @@ def compose_labels(first: DataFrame, following: DataFrame) -> DataFrame:
 def dense_ids(reps: DataFrame, ws: Workspace) -> DataFrame:
     """Number clusters 0.. in the order of their representative, the same in every run.
 
-    Sorted by range; each partition then only needs the number of rows before it. The offsets are one row
-    per partition and are broadcast as such.
+    Sorted by range; each partition then only needs the number of rows before it. Only these offsets, one
+    row per partition whatever the data, are summed in one place and broadcast.
     """
     row = F.col("at").bitwiseAND((1 << 33) - 1)
     sorted_reps, _ = ws.save(
@@ -126,13 +126,8 @@ def dense_ids(reps: DataFrame, ws: Workspace) -> DataFrame:
     )
     part = F.shiftright("at", 33)
     counts = sorted_reps.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
-    earlier = counts.select(F.col("part").alias("before"), "rows")
-    offsets = (
-        counts.select("part")
-        .join(F.broadcast(earlier), F.col("before") < F.col("part"), "left")
-        .groupBy("part")
-        .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("offset"))
-    )
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
     placed = sorted_reps.withColumn("part", part).join(F.broadcast(offsets), "part")
     return placed.withColumn("cluster_id", F.col("offset") + row).drop("at", "part", "offset")
 

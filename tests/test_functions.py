@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from namefold.functions import cleaning, fuzzy
-from namefold.functions.kernels import lcs_in_chunks
+from namefold.functions.kernels import PLANES, WORDS, dot_products, lcs_in_chunks, pack_vectors
 from namefold.functions.text import char_wb_grams, token_key, tokens
 
 CLEANED = [
@@ -96,3 +97,42 @@ def test_lcs_of_long_texts():
     a, b = "ab" * 2000, "ba" * 1500 + "c"
     got = lcs_in_chunks(np.array([a, "x"], dtype=object), np.array([b, "xy"], dtype=object))
     assert got.tolist() == [plain.lcs(a, b), 1]
+
+
+def random_vectors(count: int, grams: int, seed: int) -> pa.RecordBatch:
+    rnd = np.random.default_rng(seed)
+    ids, weights = [], []
+    for _ in range(count):
+        size = int(rnd.integers(1, 60))
+        ids.append(np.sort(rnd.choice(grams, size, replace=False)) + (int(rnd.integers(0, 2)) << 40))
+        w = rnd.exponential(size=size)
+        weights.append(w / np.sqrt((w * w).sum()))
+    return pa.RecordBatch.from_pydict(
+        {
+            "gid": list(range(count)),
+            "size": [1] * count,
+            "grams": pa.array([i.tolist() for i in ids], pa.list_(pa.int64())),
+            "weights": pa.array([w.tolist() for w in weights], pa.list_(pa.float64())),
+            "prefix": [[]] * count,
+        }
+    )
+
+
+@pytest.mark.parametrize("grams", [80, 400, 5000])
+def test_sketches_bound_the_exact_dot_products(grams):
+    source = random_vectors(60, grams, grams)
+    packed = next(pack_vectors(iter([source])))
+    dense = [dict(zip(g, w)) for g, w in zip(source["grams"].to_pylist(), source["weights"].to_pylist())]
+    pairs = [(i, j) for i in range(60) for j in range(60)]
+    a, b = (packed.take(pa.array([p[side] for p in pairs])) for side in (0, 1))
+    batch = pa.RecordBatch.from_pydict(
+        {"a": a["gid"], "b": b["gid"], "a_terms": a["terms"], "b_terms": b["terms"]}
+    )
+    dots = next(dot_products(iter([batch])))["sim"].to_numpy()
+    planes = np.stack([packed[f"s{i}"].to_numpy() for i in range(PLANES * WORDS)], axis=1).view(np.uint64)
+    bits = np.unpackbits(planes.view(np.uint8), axis=1, bitorder="little").reshape(60, PLANES, 64 * WORDS)
+    levels = (bits * (1 << np.arange(PLANES))[None, :, None]).sum(axis=1) * packed["unit"].to_numpy()[:, None]
+    for (i, j), dot in zip(pairs, dots):
+        want = sum(w * dense[j].get(g, 0.0) for g, w in dense[i].items())
+        assert dot == pytest.approx(want, abs=1e-12)
+        assert (levels[i] * levels[j]).sum() >= want - 1e-9
