@@ -84,16 +84,34 @@ def fit(terms: DataFrame, documents: int, max_df: float, ws: Workspace) -> GramM
     return GramModel(table.filter(kept), documents, seen["kept"], seen["dropped"], seen["max_df"] or 0)
 
 
+_MODEL_ROW_BYTES = 64
+
+
+def _with_model(terms: DataFrame, model: GramModel, broadcast_bytes: int) -> DataFrame:
+    """Terms with the id and frequency of their gram; terms of dropped grams disappear.
+
+    A model below the limit is broadcast. Of a larger one the most frequent grams are, since they make up
+    most terms and would be hot keys; only terms of the rarer grams are shuffled to theirs.
+    """
+    room = broadcast_bytes // _MODEL_ROW_BYTES
+    if model.kept <= room:
+        return terms.join(F.broadcast(model.table), "gram")
+    cut = model.table.agg(F.percentile_approx("df", 1 - room / model.kept).alias("df")).first()["df"]
+    frequent = model.table.filter(F.col("df") > cut)
+    if frequent.count() > 2 * room:  # the percentile is approximate
+        return terms.join(model.table, "gram")
+    in_place = terms.join(F.broadcast(frequent), "gram")
+    rarer = terms.join(F.broadcast(frequent.select("gram")), "gram", "left_anti")
+    return in_place.unionByName(rarer.join(model.table.filter(F.col("df") <= cut), "gram"))
+
+
 def weighted_terms(terms: DataFrame, model: GramModel, broadcast_bytes: int) -> DataFrame:
     """L2-normalised weights: ``(gid, size, gram, gram_id, w, tail)``.
 
-    ``tail`` is the norm of the part of the vector from this gram on, rare grams first. With the model
-    broadcast, everything stays where :func:`term_counts` put it; past the size check the model is joined
-    by a shuffle, where a gram of very many names is split by adaptive execution.
+    ``tail`` is the norm of the part of the vector from this gram on, rare grams first. With the whole model
+    broadcast, everything stays where :func:`term_counts` put it.
     """
-    row_bytes = 64
-    table = F.broadcast(model.table) if model.kept * row_bytes <= broadcast_bytes else model.table
-    raw = terms.join(table, "gram").select(
+    raw = _with_model(terms, model, broadcast_bytes).select(
         "gid",
         "size",
         "gram",

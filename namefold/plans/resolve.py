@@ -43,20 +43,48 @@ def measured_bytes(mapping: DataFrame) -> int:
     return mapping.agg(F.coalesce(F.sum(texts + 96), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+# A name is hot if it fills more than one in so many rows; so there are fewer hot names than this.
+HOT_NAME_SHARE = 10_000
+
+
 def merge_back(
-    df: DataFrame, mapping: DataFrame, name_col: str, broadcast_bytes: int = ResolveConfig.broadcast_bytes
+    df: DataFrame,
+    mapping: DataFrame,
+    name_col: str,
+    broadcast_bytes: int = ResolveConfig.broadcast_bytes,
+    ws: Workspace | None = None,
 ) -> DataFrame:
     """Every input row with its cleaned name, cluster and representative; the row count is unchanged.
 
-    A mapping below ``broadcast_bytes`` is broadcast and the input is not moved at all. A larger one is
-    joined by a shuffle; the mapping is unique per name, so a name that fills a large share of the rows
-    is split over tasks by adaptive execution without copying more than one mapping row.
+    A mapping below ``broadcast_bytes`` is broadcast and the input is not moved at all.
     """
     side = mapping.select(*MAPPING_COLUMNS)
-    if measured_bytes(side) <= broadcast_bytes:
-        side = F.broadcast(side)
+    if measured_bytes(side) > broadcast_bytes:
+        return _merge_large(df, side, name_col, ws or Workspace(df.sparkSession))
     matches = df[name_col].cast("string") == side["original_name"]
-    return df.join(side, matches, "left").drop("original_name")
+    return df.join(F.broadcast(side), matches, "left").drop("original_name")
+
+
+def _merge_large(df: DataFrame, mapping: DataFrame, name_col: str, ws: Workspace) -> DataFrame:
+    """Rows of hot names stay where they are, rows without a name need no join, the rest is shuffled.
+
+    The mapping rows of the hot names are fewer than ``HOT_NAME_SHARE`` and are broadcast.
+    """
+    name = F.col(name_col).cast("string")
+    total = df.count()
+    counts = df.groupBy(name.alias("original_name")).agg(F.count(F.lit(1)).alias("n"))
+    often = counts.filter((F.col("n") * HOT_NAME_SHARE > total) & F.col("original_name").isNotNull())
+    hot, _ = ws.save(mapping.join(often, "original_name", "left_semi"), "hot_names")
+    named = df.filter(F.col(name_col).isNotNull())
+    matches = name == F.col("original_name")
+    in_place = named.join(F.broadcast(hot), matches).drop("original_name")
+    others = named.join(F.broadcast(hot.select("original_name")), matches, "left_anti")
+    moved = others.join(mapping, matches, "left").drop("original_name")
+    types = dict(mapping.dtypes)
+    nameless = df.filter(F.col(name_col).isNull()).select(
+        "*", *(F.lit(None).cast(types[c]).alias(c) for c in MAPPING_COLUMNS[1:])
+    )
+    return in_place.unionByName(moved).unionByName(nameless)
 
 
 @dataclass(frozen=True)
@@ -76,7 +104,7 @@ def resolve(
     clusters = cluster_names(cleaned, cfg=cfg, ws=ws)
     # The cleaning map is distinct per original and the clusters per cleaned name: nothing to dedupe.
     mapping, _ = ws.save(attach_clusters(cleaned, clusters), "mapping")
-    return Resolution(mapping, merge_back(df, mapping, name_col, cfg.broadcast_bytes))
+    return Resolution(mapping, merge_back(df, mapping, name_col, cfg.broadcast_bytes, ws))
 
 
 def largest_clusters(mapping: DataFrame, clusters: int = 5, samples: int = 5) -> DataFrame:

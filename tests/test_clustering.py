@@ -177,13 +177,14 @@ def test_degenerate_inputs(spark, ws, values):
         assert min(r["cluster_id"] for r in rows) == 0
 
 
-def test_idf_and_cut_match_plain_version(spark, ws):
+@pytest.mark.parametrize("broadcast_bytes", [0, 64 * 30, 1 << 20], ids=["shuffled", "split", "broadcast"])
+def test_idf_and_cut_match_plain_version(spark, ws, broadcast_bytes):
     values = sorted(set(random_names(40, 5)))
     numbered, count = names.number_names(cleaned_frame(spark, values), ws)
     single = numbered.select(F.col("id").alias("gid"), F.lit(1).cast("bigint").alias("size"), "cleaned_name")
     terms = features.term_counts(single, count, (2, 4))
     model = features.fit(terms, count, 0.3, ws)
-    weights = features.weighted_terms(terms, model, 0)
+    weights = features.weighted_terms(terms, model, broadcast_bytes)
     got = {(r["cleaned_name"], r["gram"]): r["w"] for r in weights.join(numbered, F.col("gid") == F.col("id")).collect()}
     want = {(n, g): w for n, v in zip(values, plain.vectors(values, 2, 4, 0.3)) for g, w in v.items()}
     assert got.keys() == want.keys()

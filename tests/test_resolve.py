@@ -45,20 +45,34 @@ def test_resolution(spark, ws, rows):
     assert summary == {"input_rows": 10, "mapping_entries": 8, "clusters": 4, "output_rows": 10}
 
 
-def test_merge_back_is_broadcast_only_below_the_limit(spark, rows):
-    mapping = spark.createDataFrame(
-        [("Mr. John Smith", "john smith", 0, "john smith")],
-        "original_name string, cleaned_name string, cluster_id bigint, representative_name string",
+def test_merge_back_is_the_same_on_both_sides_of_the_limit(spark, ws, monkeypatch):
+    rows = spark.range(2000).selectExpr(
+        "id", "case when id % 3 = 0 then 'hot' when id % 3 = 1 then concat('n', id % 50) end as payee"
     )
-
-    def plan(limit: int) -> str:
-        return resolve.merge_back(rows, mapping, "payee", limit)._jdf.queryExecution().sparkPlan().toString()
+    names_ = [("hot",), *((f"n{i}",) for i in range(45))]  # n45..n49 are not in the mapping
+    mapping = spark.createDataFrame(names_, "original_name string").selectExpr(
+        "original_name",
+        "original_name as cleaned_name",
+        "cast(length(original_name) as bigint) as cluster_id",
+        "upper(original_name) as representative_name",
+    )
+    small = resolve.merge_back(rows, mapping, "payee")
+    monkeypatch.setattr(resolve, "HOT_NAME_SHARE", 20)  # only "hot" is hot
+    large = resolve.merge_back(rows, mapping, "payee", 10, ws)
+    assert small.columns == large.columns and small.dtypes == large.dtypes
+    want = sorted(map(tuple, small.collect()), key=str)
+    assert sorted(map(tuple, large.collect()), key=str) == want
+    assert len(want) == 2000
+    assert sum(r[2] is None for r in want) > 600
+
+    def plan(df):
+        return df._jdf.queryExecution().sparkPlan().toString()
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in plan(1 << 20)
-        assert "BroadcastHashJoin" not in plan(10)
-        assert resolve.merge_back(rows, mapping, "payee", 10).count() == len(ROWS)
+        assert plan(resolve.merge_back(rows, mapping, "payee")).count("BroadcastHashJoin") == 1
+        large_plan = plan(resolve.merge_back(rows, mapping, "payee", 10, ws))
+        assert large_plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" in large_plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
