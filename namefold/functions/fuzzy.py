@@ -12,6 +12,7 @@ from pyspark.sql.types import IntegerType
 from namefold.functions.kernels import lcs_in_chunks
 from namefold.functions.text import token_key
 
+
 @F.pandas_udf(IntegerType())
 def lcs_length(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in batches:

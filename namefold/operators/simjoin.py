@@ -132,19 +132,3 @@ def cosine_pairs(
     """All pairs ``(a, b, sim)``, ``a < b``, of vectors with cosine strictly above ``threshold``."""
     candidates = candidate_pairs(vectors, threshold, cfg, ws, most_entries)
     return verified_pairs(candidates, vectors, threshold, vector_bytes <= cfg.broadcast_bytes)
-
-
-def cosine_pairs_by_full_index(weights: DataFrame, threshold: float) -> DataFrame:
-    """The same result from the whole inverted index; grows with the square of gram frequency.
-
-    Kept as the yardstick the prefix join is tested against.
-    """
-    x = weights.select("gram_id", F.col("gid").alias("a"), F.col("w").alias("wa"))
-    y = weights.select("gram_id", F.col("gid").alias("b"), F.col("w").alias("wb"))
-    dots = (
-        x.join(y, "gram_id")
-        .filter(F.col("a") < F.col("b"))
-        .groupBy("a", "b")
-        .agg(F.round(F.sum(F.col("wa") * F.col("wb")), DECIMALS).alias("sim"))
-    )
-    return dots.filter(F.col("sim") > threshold)
