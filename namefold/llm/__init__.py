@@ -2,8 +2,8 @@
 
 from pyspark import cloudpickle
 
-from namefold.llm import bitslice, simhash, token_orc, urls, words
+from namefold.llm import bitslice, multiset, quality, simhash, token_orc, toxicity, urls, words
 
 # Sent to the workers with each job, so executors need no copy of this package.
-for _module in (bitslice, simhash, token_orc, urls, words):
+for _module in (bitslice, multiset, quality, simhash, token_orc, toxicity, urls, words):
     cloudpickle.register_pickle_by_value(_module)

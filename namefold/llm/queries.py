@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namefold.llm import mixing, simhash, token_orc, urls
+from namefold.llm import decontam, mixing, multiset, quality, simhash, token_orc, toxicity, urls
 from namefold.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severities(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -25,10 +30,25 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.digests(spark, path)
 
 
+def op3_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = ~quality.held_out(F.col("doc_id"))
+    return quality.predicted(docs, quality.fit(docs, table(spark, sf_dir, "labels"), learned))
+
+
+def op4_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset.compared(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_takes(table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark")
+    return decontam.reports(table(spark, sf_dir, "documents"), items, Workspace(spark))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -39,8 +59,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_orc": op2_token_orc,
+    "op3_subword_quality": op3_subword_quality,
+    "op4_multiset_hash": op4_multiset_hash,
     "op6_source_mixing": op6_source_mixing,
+    "op7_winnowing": op7_winnowing,
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
 }
