@@ -6,7 +6,7 @@ groups by the row index, and the rest by Bloom filters. The whole texts are enco
 they are written. ORC packs the ids with its own run-length encoding.
 
 The tokenizer drops white space between words, so a word's ids do not depend on its neighbours: each worker encodes
-a word once with the tokenizers library and keeps the ids in a table of bounded size (``CACHE_WORDS``).
+a word once with the tokenizers library and keeps the ids in tables of bounded size (``CACHE_WORDS``).
 
 Nulls: a null text is an empty one, which has the end id only; documents without an id come first. Rows with the
 same id are ordered by text. Repeated rows are encoded again. Other columns are not written. An empty table gives no
@@ -15,6 +15,8 @@ rows.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 END_ID = 1
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
 
@@ -39,8 +41,23 @@ _FILES = {
 SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>"
 
 
+# A run of letters with one form each (a-z and lower-case Latin-1) at the start of a word, if an ASCII character other
+# than a letter or apostrophe follows, or nothing. The tokenizer always cuts there.
+_HEAD = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)(?=[!-&(-@\[-`{-~]|$)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write printable Latin-1 bytes as they are and number the others from 256."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in printable)}
+
+
 class WordEncoder:
-    """Ids of a text as little-endian 32-bit integers, by a tokenizer that drops white space between words."""
+    """Ids of a text as little-endian 32-bit integers, by a tokenizer that drops white space between words.
+
+    Ids are kept per word and per leading run of plain letters; such a run needs no normalizing and is one unit of the
+    tokenizer, so its model is asked directly. Everything else goes through the whole tokenizer.
+    """
 
     def __init__(self, vocabulary: str, end_id: int = END_ID, limit: int = CACHE_WORDS):
         from tokenizers import Tokenizer
@@ -48,23 +65,45 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.end = np.array([end_id], "<u4").tobytes()
         self.limit = limit
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(text or b"").split() for text in texts]
-        return [b"".join((*self._ids(words), self.end)) for words in split]
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        known = self.known
-        new = [w for w in set(words) if w not in known]
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+        self.letters = _byte_letters()
+
+    def encode(self, text: bytes | None) -> bytes:
+        text = text or b""
+        # Special tokens are found as they are written, so a text that may hold one keeps its capitals.
+        words = text.split() if b"<|" in text else text.lower().split()
+        known = self.words
+        new = {w for w in words if w not in known}
         if new:
             if len(known) + len(new) > self.limit:
                 known.clear()
-                new = list(set(words))
-            # A long text with more new words than the limit still has all of them at hand while it is joined.
-            encoded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
-        return list(map(known.__getitem__, words))
+                new = set(words)
+            for w in new:
+                known[w] = self._word(w)
+        return b"".join((*map(known.__getitem__, words), self.end))
+
+    def _word(self, word: bytes) -> bytes:
+        head = _HEAD.match(word)
+        if head is None:
+            return self._part(word, False)
+        rest = word[head.end() :]
+        return self._part(head[0], True) + self._part(rest, False) if rest else self._part(word, True)
+
+    def _part(self, part: bytes, plain: bool) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            if plain:
+                text = part.decode("latin-1")
+                text = text if text.isascii() else text.translate(self.letters)
+                found = [t.id for t in self.tokenizer.model.tokenize(text)]
+            else:
+                found = self.tokenizer.encode(part.decode(), add_special_tokens=False).ids
+            ids = struct.pack(f"<{len(found)}I", *found)
+            if len(self.parts) >= self.limit:
+                self.parts.clear()
+            self.parts[part] = ids
+        return ids
 
 
 def encode(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
@@ -76,7 +115,7 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
             # A few hundred texts at a time: the ids of a batch are larger than its texts.
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                rows = encoder.encode(part.column("text").cast(pa.binary()).to_pylist())
+                rows = [encoder.encode(t) for t in part.column("text").cast(pa.binary()).to_pylist()]
                 lengths = np.array([len(r) // 4 for r in rows], np.int64)
                 offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
                 ids = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(rows))])
