@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namefold.llm import decontam, mixing, multiset, quality, simhash, token_orc, toxicity, urls
+from namefold.llm import decontam, licenses, mixing, multiset, quality, secret_forest, simhash, token_orc, toxicity, urls
 from namefold.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,16 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.severities(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
     path = f"{Workspace(spark).path}/tokens"
-    token_orc.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    token_orc.write(table(spark, sf_dir, "documents"), path, op_vocabulary())
     return token_orc.digests(spark, path)
 
 
@@ -40,6 +44,10 @@ def op4_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset.compared(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_forest.scan(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_takes(table(spark, sf_dir, "documents"), Workspace(spark))
 
@@ -58,14 +66,27 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_orc": op2_token_orc,
     "op3_subword_quality": op3_subword_quality,
     "op4_multiset_hash": op4_multiset_hash,
+    "op5_secret_forest": op5_secret_forest,
     "op6_source_mixing": op6_source_mixing,
     "op7_winnowing": op7_winnowing,
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
+    "op10_license_rules": op10_license_rules,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {}
