@@ -38,3 +38,17 @@ def payee_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     sql = PAYEE_TX.replace("from lineitem", "from {lineitem}").replace("join payee_names", "join {names}")
     return spark.sql(sql, lineitem=lineitem, names=payee_names(spark, sf_dir))
+
+
+# Every kind of text that CSV makes hard, by row number.
+HARD_ROWS = """
+select l_orderkey, l_linenumber, l_extendedprice, case (l_orderkey + l_linenumber) % 7
+ when 0 then payee_name || chr(10) || 'second line' when 1 then '"' || payee_name || '", "quoted"'
+ when 2 then 'N/A' when 3 then '  ' || payee_name || ' ' when 4 then 'nan'
+ else payee_name end as payee_name from payee_tx
+"""
+
+
+def hard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql = HARD_ROWS.replace("from payee_tx", "from {rows}")
+    return spark.sql(sql, rows=payee_rows(spark, sf_dir))

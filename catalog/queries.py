@@ -14,11 +14,11 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.fixtures import payee_names, payee_rows
+from catalog.fixtures import hard_rows, payee_names, payee_rows
 from namefold.config import ResolveConfig
 from namefold.functions import cleaning, fuzzy
 from namefold.operators import components, features, names, neighbours, simjoin, verify
-from namefold.plans import cluster, profiles, resolve
+from namefold.plans import cluster, profiles, resolve, run
 from namefold.sources import files
 from namefold.workspace import Workspace
 
@@ -145,7 +145,8 @@ def _step(step) -> Query:
 
 
 def csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = payee_rows(spark, sf_dir)
+    """Names with line breaks, quotes, blanks and missing-value texts, written and read as CSV."""
+    rows = hard_rows(spark, sf_dir)
     path = f"{Workspace(spark).path}/csv"
     files.write_dataset(rows, path, "csv")
     return files.read_csv(spark, path, NAME, rows.schema)
@@ -157,7 +158,8 @@ def table_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = payee_names(spark, sf_dir)
-    return found.select("p_partkey", cleaning.null_safe(F.col(NAME)).alias("result"))
+    blanks = F.when(F.col("p_partkey") % 12 == 0, F.repeat(F.lit(" "), (F.col("p_partkey") % 5).cast("int")))
+    return found.select("p_partkey", cleaning.null_safe(F.coalesce(blanks, F.col(NAME))).alias("result"))
 
 
 def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,8 +199,11 @@ def tfidf_stats(s: Stages) -> DataFrame:
 
 
 def cosine_pairs(s: Stages) -> DataFrame:
-    pairs = s.loose_pairs.select("a", "b", F.round("sim", 6).alias("cosine"))
-    return s.text_of(pairs, a="name_a", b="name_b")
+    """Names with their first neighbours above the threshold; a pair is there if either side kept the other."""
+    found = s.loose_neighbours.select(
+        F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), F.round("sim", 6).alias("cosine")
+    )
+    return s.text_of(found.distinct(), a="name_a", b="name_b")
 
 
 def topn_neighbours(s: Stages) -> DataFrame:
@@ -233,10 +238,10 @@ def token_sort_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_anchor(s: Stages) -> DataFrame:
-    labelled = s.text_of(_loose_components(s), id="cleaned_name")
-    anchors = verify.representatives(labelled, "cleaned_name", "root").withColumnRenamed("representative_name", "anchor")
-    sizes = labelled.groupBy("root").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > 1)
-    return anchors.join(sizes, "root").drop("root")
+    """The anchor of every component of the first round: its smallest id, in the engine's own order."""
+    labels = s.rounds[0].labels
+    sizes = labels.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    return s.text_of(sizes, root="anchor")
 
 
 def split_weak_members(s: Stages) -> DataFrame:
@@ -247,14 +252,14 @@ def split_weak_members(s: Stages) -> DataFrame:
 
 def select_representatives(s: Stages) -> DataFrame:
     labels = s.rounds[0].labels
-    best = verify.representatives(labels, "cleaned_name", "root")
-    sizes = labels.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    return best.join(sizes, "root").drop("root")
+    best = verify.representatives(labels, "cleaned_name", "label")
+    sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
+    return best.join(sizes, "label").drop("label")
 
 
 def attach_representative(s: Stages) -> DataFrame:
-    labels = s.rounds[0].labels.select("cleaned_name", "root")
-    return verify.attach_representatives(labels, "cleaned_name", "root").drop("root")
+    labels = s.rounds[0].labels.select("cleaned_name", "label")
+    return verify.attach_representatives(labels, "cleaned_name", "label").drop("label")
 
 
 def compose_labels(s: Stages) -> DataFrame:
@@ -284,8 +289,19 @@ def cluster_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.cluster_names(cleaned, ws=ws)
 
 
+def cluster_names_overridden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first round as loose as the recall round; a falsy override keeps the default."""
+    ws = Workspace(spark)
+    cleaned, _ = ws.save(names.cleaning_map(payee_rows(spark, sf_dir), NAME), "cleaned")
+    return cluster.cluster_names(cleaned, threshold=0.60, ngram_range=(2, 4), top_n=0, ws=ws)
+
+
 def resolve_payees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.resolve(payee_rows(spark, sf_dir), NAME).final
+    """From a written source to written results."""
+    ws = Workspace(spark)
+    source = f"{ws.path}/rows"
+    payee_rows(spark, sf_dir).write.parquet(source)
+    return run.run(spark, source, f"{ws.path}/results", NAME).final
 
 
 def mapping_csv_sink(s: Stages) -> DataFrame:
@@ -301,18 +317,19 @@ def dataset_sink(s: Stages) -> DataFrame:
 
 
 def table_sinks(s: Stages) -> DataFrame:
+    """The rows of both tables as they are read back; the catalog entries are dropped, the files are the workspace's."""
     tag = uuid4().hex
     tables = {"mapping": f"mapping_{tag}", "final": f"final_{tag}"}
     files.write_tables(s.mapping, s.final, tables["mapping"], tables["final"], location=s.ws.path)
-    counts = [
-        files.read_table(s.spark, table).agg(
-            F.lit(label).alias("written"),
-            F.count(F.lit(1)).alias("n"),
-            F.count("cluster_id").alias("clustered"),
-        )
-        for label, table in tables.items()
-    ]
-    return counts[0].unionByName(counts[1])
+    found = {}
+    for label, table in tables.items():
+        stored = files.read_table(s.spark, table)
+        path = s.spark.sql(f"describe extended {table}").filter("col_name = 'Location'").first()["data_type"]
+        found[label] = s.spark.read.schema(stored.schema).format("parquet").load(path)
+        s.spark.sql(f"drop table {table}")
+    keys = ["cleaned_name", "cluster_id", "representative_name"]
+    final = found["final"].select(F.lit("final").alias("written"), F.col(NAME).alias("original_name"), *keys)
+    return found["mapping"].select(F.lit("mapping").alias("written"), "original_name", *keys).unionByName(final)
 
 
 def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "pass3_recall": _staged(_later_pass(1)),
     "pass4_merge": _staged(_later_pass(2)),
     "cluster_names": cluster_names,
+    "cluster_names_overridden": cluster_names_overridden,
     "attach_clusters": _staged(lambda s: resolve.attach_clusters(s.cleaned, s.clusters)),
     "mapping_table": _staged(lambda s: resolve.mapping_table(s.cleaned, s.clusters)),
     "merge_back": _staged(lambda s: s.final),

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 # They decide which text is removed and must stay as they are.
 HONORIFICS = ("mr", "mrs", "miss", "ms", "dr", "moham")
-JUNK_WORDS = ("bacs", "micl", "postcodeservices", "ltd", "limited")
-# Fixed value: also removed as a junk word, with any spacing between its two parts.
-SPACED_JUNK_WORD = ("postcode", "services")
+# A blank in a word stands for any white space, or none.
+JUNK_WORDS = ("bacs", "micl", "postcodeservices", "postcode services", "ltd", "limited")
 
 
 @dataclass(frozen=True)
@@ -23,9 +22,12 @@ class PassParams:
 
 @dataclass(frozen=True)
 class ResolveConfig:
+    # The rounds' thresholds, n-gram ranges, neighbours and fuzzy limits.
     precision: PassParams = field(default_factory=lambda: PassParams(0.85, (3, 5), 5, 75))
     recall: PassParams = field(default_factory=lambda: PassParams(0.60, (2, 4), 10, 65))
     merge: PassParams = field(default_factory=lambda: PassParams(0.60, (2, 4), 10, 60))
+    honorifics: tuple[str, ...] = HONORIFICS
+    junk_words: tuple[str, ...] = JUNK_WORDS
     max_df: float = 0.95  # grams found in a larger share of the names are ignored
 
     # A side is broadcast only when its measured size is below this; otherwise it is shuffled.
@@ -42,6 +44,4 @@ class ResolveConfig:
             top_n or base.top_n,
             base.fuzz,
         )
-        return ResolveConfig(
-            first, self.recall, self.merge, self.max_df, self.broadcast_bytes, self.gram_block_rows
-        )
+        return replace(self, precision=first)

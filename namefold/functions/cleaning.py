@@ -8,12 +8,11 @@ that also count as white space in names.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from namefold.config import HONORIFICS, JUNK_WORDS, SPACED_JUNK_WORD
+from namefold.config import HONORIFICS, JUNK_WORDS
 
 WS = r"[\s\x1c-\x1f]"
 
@@ -34,13 +33,17 @@ def _whole_words(alternatives) -> str:
 
 
 _DATES = f"(?iU)(?:{'|'.join(DATE_SHAPES)})"
-_PREFIXES = _whole_words(re.escape(w) for w in HONORIFICS)
-_JUNK = _whole_words([*JUNK_WORDS, f"{WS}*".join(SPACED_JUNK_WORD)])
+
+
+def _spaced(word: str) -> str:
+    """A literal word; a blank in it stands for any white space, or none."""
+    return f"{WS}*".join(re.escape(part) for part in word.split())
 
 
 def null_safe(c: Column) -> Column:
-    """Null and non-string input become text; null becomes the empty string."""
-    return F.coalesce(c.cast("string"), F.lit(""))
+    """Null and non-string input become text; null and blank text become the empty string."""
+    text = F.coalesce(c.cast("string"), F.lit(""))
+    return F.when(text.rlike(rf"(?U)\A{WS}*\z"), "").otherwise(text)
 
 
 def drop_dates(c: Column) -> Column:
@@ -48,14 +51,14 @@ def drop_dates(c: Column) -> Column:
     return F.regexp_replace(c, _DATES, "")
 
 
-def drop_prefixes(c: Column) -> Column:
+def drop_prefixes(c: Column, honorifics: tuple[str, ...] = HONORIFICS) -> Column:
     """Remove honorifics that stand as whole words, wherever they are."""
-    return F.regexp_replace(c, _PREFIXES, "")
+    return F.regexp_replace(c, _whole_words(map(_spaced, honorifics)), "") if honorifics else c
 
 
-def drop_junk_words(c: Column) -> Column:
+def drop_junk_words(c: Column, junk_words: tuple[str, ...] = JUNK_WORDS) -> Column:
     """Remove payment-channel and company-form words that stand as whole words."""
-    return F.regexp_replace(c, _JUNK, "")
+    return F.regexp_replace(c, _whole_words(map(_spaced, junk_words)), "") if junk_words else c
 
 
 def drop_brackets(c: Column) -> Column:
@@ -79,21 +82,10 @@ def standardize(c: Column) -> Column:
     return F.regexp_replace(collapsed, rf"(?U)\A{WS}+|{WS}+\z", "")
 
 
-# The order is part of the result: a later step sees what the earlier ones left.
-STEPS: tuple[Callable[[Column], Column], ...] = (
-    null_safe,
-    drop_dates,
-    drop_prefixes,
-    drop_junk_words,
-    drop_brackets,
-    drop_digits,
-    trim_edge_noise,
-    standardize,
-)
-
-
-def clean_name(c: Column) -> Column:
-    """The full cleaning chain, each step applied once."""
-    for step in STEPS:
-        c = step(c)
-    return c
+def clean_name(
+    c: Column, honorifics: tuple[str, ...] = HONORIFICS, junk_words: tuple[str, ...] = JUNK_WORDS
+) -> Column:
+    """The full cleaning chain, each step applied once. A later step sees what the earlier ones left."""
+    c = drop_prefixes(drop_dates(null_safe(c)), honorifics)
+    c = drop_digits(drop_brackets(drop_junk_words(c, junk_words)))
+    return standardize(trim_edge_noise(c))

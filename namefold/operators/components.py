@@ -6,7 +6,7 @@ Kiveris et al., "Connected Components in MapReduce and Beyond", SoCC 2014. Edges
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from namefold.workspace import Workspace
@@ -14,38 +14,40 @@ from namefold.workspace import Workspace
 
 # Large star: the larger neighbours of a node are linked to the smallest node around it. Small star: the
 # smaller neighbours of a node, and the node itself, are linked to the smallest of them. Both map every
-# edge to one edge. The smallest neighbours are aggregated before the exchange, so a hub sends one row per
-# task; nodes without a smaller neighbour, such as the label of a giant component, match nothing.
-_ROUND = """
-with large as (
-  select e.u, coalesce(l.low, e.v) as v
-  from {edges} e left join (select u, min(v) as low from {edges} group by u) l on e.v = l.u
-)
-select distinct case when e.v = s.low then e.u else e.v end as u, s.low as v
-from large e join (select u, min(v) as low from large group by u) s on e.u = s.u
-"""
-
-# Nodes linked to more than one smaller node, or linked to one and also the smaller end of an edge.
-_UNSETTLED = """
-select count(*) as nodes from (
-  select node from (
-    select u as node, 1 as up, 0 as down from {edges} union all select v, 0, 1 from {edges})
-  group by node having sum(up) > 1 or (max(up) = 1 and max(down) = 1))
+# edge to one edge. The smallest neighbours are aggregated before the exchange and written, so a join has
+# a plain table on either side and Spark can split the edges of a hub or of the label of a giant component.
+_LOWEST = "select u, min(v) as low from {edges} group by u"
+_LARGE = "select e.u, coalesce(l.low, e.v) as v, l.low is not null as moved from {edges} e left join {low} l on e.v = l.u"
+_SMALL = """
+select case when e.v = s.low then e.u else e.v end as u, s.low as v, e.v <> s.low as moved
+from {edges} e join {low} s on e.u = s.u
 """
 
 
 def connected_components(edges: DataFrame, ws: Workspace) -> DataFrame:
     """Labels ``(node, root)`` of all nodes that are not the smallest of their component.
 
-    ``edges`` must be a written table. The driver only sees how many nodes a further round would move.
+    ``edges`` must be a written table. The driver only sees how many edges a round has moved.
     """
     spark = edges.sparkSession
-    current, written = edges, False
-    while spark.sql(_UNSETTLED, edges=current).first()["nodes"]:
-        following, _ = ws.save(spark.sql(_ROUND, edges=current), "star")
-        if written:
-            ws.discard(current)
-        current, written = following, True
+    current, owner, moved = edges, None, 1
+    while moved:
+        scratch = ws.scratch()
+        low, _ = scratch.save(spark.sql(_LOWEST, edges=current), "lowest")
+        large, seen = scratch.save(
+            spark.sql(_LARGE, edges=current, low=low), "large", moved=F.count_if("moved")
+        )
+        moved = seen["moved"]
+        low, _ = scratch.save(spark.sql(_LOWEST, edges=large), "lowest")
+        watched = Observation()
+        small = spark.sql(_SMALL, edges=large, low=low).observe(watched, F.count_if("moved").alias("moved"))
+        following = ws.scratch()
+        current, _ = following.save(small.select("u", "v").distinct(), "star")
+        moved += watched.get["moved"]
+        scratch.close()
+        if owner:
+            owner.close()
+        owner = following
     return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 

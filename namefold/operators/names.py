@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from namefold.config import ResolveConfig
 from namefold.functions.cleaning import clean_name
 from namefold.functions.text import token_key, tokens
 from namefold.workspace import Workspace
@@ -16,9 +17,21 @@ def unique_names(df: DataFrame, name_col: str) -> DataFrame:
     return df.filter(F.col(name_col).isNotNull()).select(name.alias("original_name")).distinct()
 
 
-def cleaning_map(df: DataFrame, name_col: str) -> DataFrame:
+def _cleaned(cfg: ResolveConfig | None) -> Column:
+    cfg = cfg or ResolveConfig()
+    return clean_name(F.col("original_name"), cfg.honorifics, cfg.junk_words)
+
+
+def cleaning_map(df: DataFrame, name_col: str, cfg: ResolveConfig | None = None) -> DataFrame:
     """One row per distinct original name with its cleaned form."""
-    return unique_names(df, name_col).withColumn("cleaned_name", clean_name(F.col("original_name")))
+    return unique_names(df, name_col).withColumn("cleaned_name", _cleaned(cfg))
+
+
+def counted_cleaning_map(df: DataFrame, name_col: str, cfg: ResolveConfig | None = None) -> DataFrame:
+    """The cleaning map with the number of rows of each name, ``n``; one pass over the names."""
+    name = F.col(name_col).cast("string").alias("original_name")
+    counts = df.filter(F.col(name_col).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("original_name", _cleaned(cfg).alias("cleaned_name"), "n")
 
 
 def not_blank(name: Column) -> Column:
@@ -64,8 +77,17 @@ def token_groups(names: DataFrame, ws: Workspace) -> tuple[DataFrame, int]:
     that holds a large share of all names costs no more than a single name. Also returns how many names
     are in groups of more than one.
     """
-    firsts = names.groupBy("token_key").agg(F.min("id").alias("gid"), F.count(F.lit(1)).alias("size"))
-    members = names.join(firsts, "token_key").select("id", "gid", "size", "cleaned_name", "token_key")
+    groups = names.groupBy("token_key").agg(F.min("id").alias("gid"), F.count(F.lit(1)).alias("size"))
+    # Written: with a plain table on either side Spark can split the names of a hot group. Names alone
+    # in their group match nothing.
+    groups, _ = ws.save(groups.filter(F.col("size") > 1), "token_groups")
+    members = names.join(groups, "token_key", "left").select(
+        "id",
+        F.coalesce("gid", "id").alias("gid"),
+        F.coalesce("size", F.lit(1)).cast("bigint").alias("size"),
+        "cleaned_name",
+        "token_key",
+    )
     members, seen = ws.save(members, "members", shared=F.count_if(F.col("size") > 1))
     return members, seen["shared"]
 

@@ -81,14 +81,15 @@ def cluster_pass(
     numbered: DataFrame, documents: int, params: PassParams, cfg: ResolveConfig, ws: Workspace
 ) -> PassResult:
     """One round over distinct names: similarity graph, components, verification."""
-    model = fit_model(numbered, documents, params, cfg, ws)
-    linked = group_components(model, params, cfg, ws)
-    verdicts = verify.anchor_verdicts(linked, model.members, params.fuzz)
-    labels, seen = ws.save(
-        verify.split_weak_members(model.members, verdicts),
-        "labels",
-        clusters=F.count_if(F.col("id") == F.col("label")),
-    )
+    with ws.scratch() as scratch:
+        model = fit_model(numbered, documents, params, cfg, scratch)
+        linked = group_components(model, params, cfg, scratch)
+        verdicts = verify.anchor_verdicts(linked, model.members, params.fuzz)
+        labels, seen = ws.save(
+            verify.split_weak_members(model.members, verdicts),
+            "labels",
+            clusters=F.count_if(F.col("id") == F.col("label")),
+        )
     return PassResult(labels, seen["clusters"])
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from namefold.config import ResolveConfig
-from namefold.operators.names import cleaning_map, one_per_key
+from namefold.operators.names import counted_cleaning_map, one_per_key
 from namefold.plans.cluster import cluster_names
 from namefold.workspace import Workspace
 
@@ -53,44 +53,71 @@ def merge_back(
     name_col: str,
     broadcast_bytes: int = ResolveConfig.broadcast_bytes,
     ws: Workspace | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Every input row with its cleaned name, cluster and representative; the row count is unchanged.
 
-    A mapping below ``broadcast_bytes`` is broadcast and the input is not moved at all.
+    A mapping below ``broadcast_bytes`` is broadcast and the input is not moved at all. ``counts``, rows per
+    ``original_name`` as ``n``, saves a pass over the names with a larger one.
     """
     side = mapping.select(*MAPPING_COLUMNS)
     if measured_bytes(side) > broadcast_bytes:
-        return _merge_large(df, side, name_col, ws or Workspace(df.sparkSession))
+        return _merge_large(df, side, name_col, broadcast_bytes, ws or Workspace(df.sparkSession), counts)
     matches = df[name_col].cast("string") == side["original_name"]
     return df.join(F.broadcast(side), matches, "left").drop("original_name")
 
 
-def _merge_large(df: DataFrame, mapping: DataFrame, name_col: str, ws: Workspace) -> DataFrame:
-    """Rows of hot names stay where they are, rows without a name need no join, the rest is shuffled.
+def hot_names(mapping: DataFrame, counts: DataFrame, broadcast_bytes: int, ws: Workspace) -> DataFrame | None:
+    """The mapping rows of the hot names, fewer than ``HOT_NAME_SHARE``; None if their texts do not fit."""
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    often = counts.filter(F.col("n") * HOT_NAME_SHARE > total)
+    hot, _ = ws.save(mapping.join(often.select("original_name"), "original_name", "left_semi"), "hot_names")
+    return hot if measured_bytes(hot) <= broadcast_bytes else None
 
-    The mapping rows of the hot names are fewer than ``HOT_NAME_SHARE`` and are broadcast.
+
+def _merge_large(
+    df: DataFrame, mapping: DataFrame, name_col: str, broadcast_bytes: int, ws: Workspace, counts: DataFrame | None
+) -> DataFrame:
+    """One scan and one join. Rows of hot names are filled from a broadcast table.
+
+    They, and rows without a name, then get a key that is spread and matches nothing. Hot names whose texts
+    are too long to broadcast stay in the join, where adaptive execution splits them.
     """
-    name = F.col(name_col).cast("string")
-    total = df.count()
-    counts = df.groupBy(name.alias("original_name")).agg(F.count(F.lit(1)).alias("n"))
-    often = counts.filter((F.col("n") * HOT_NAME_SHARE > total) & F.col("original_name").isNotNull())
-    hot, _ = ws.save(mapping.join(often, "original_name", "left_semi"), "hot_names")
-    named = df.filter(F.col(name_col).isNotNull())
-    matches = name == F.col("original_name")
-    in_place = named.join(F.broadcast(hot), matches).drop("original_name")
-    others = named.join(F.broadcast(hot.select("original_name")), matches, "left_anti")
-    moved = others.join(mapping, matches, "left").drop("original_name")
-    types = dict(mapping.dtypes)
-    nameless = df.filter(F.col(name_col).isNull()).select(
-        "*", *(F.lit(None).cast(types[c]).alias(c) for c in MAPPING_COLUMNS[1:])
-    )
-    return in_place.unionByName(moved).unionByName(nameless)
+    if counts is None:
+        counts, _ = ws.save(counted_cleaning_map(df, name_col).select("original_name", "n"), "counts")
+    hot = hot_names(mapping, counts, broadcast_bytes, ws)
+    rows = df.withColumn("_nf_name", F.col(name_col).cast("string"))
+    skip = F.col("_nf_name").isNull()
+    filled = {c: F.col(f"_nf_to_{c}") for c in MAPPING_COLUMNS[1:]}
+    if hot is not None:
+        known = hot.select(*(F.col(c).alias(f"_nf_{c}") for c in MAPPING_COLUMNS))
+        rows = rows.join(F.broadcast(known), F.col("_nf_name") == F.col("_nf_original_name"), "left")
+        skip = skip | F.col("_nf_original_name").isNotNull()
+        is_hot = F.col("_nf_original_name").isNotNull()
+        filled = {c: F.when(is_hot, F.col(f"_nf_{c}")).otherwise(v) for c, v in filled.items()}
+    rows = rows.withColumn("_nf_spread", F.when(skip, 1 + F.monotonically_increasing_id() % 4096).otherwise(0))
+    rows = rows.withColumn("_nf_key", F.when(F.col("_nf_spread") > 0, "").otherwise(F.col("_nf_name")))
+    side = mapping.select(*(F.col(c).alias(f"_nf_to_{c}") for c in MAPPING_COLUMNS), F.lit(0).cast("bigint").alias("_nf_at"))
+    matches = (F.col("_nf_key") == F.col("_nf_to_original_name")) & (F.col("_nf_spread") == F.col("_nf_at"))
+    return rows.join(side, matches, "left").select(*df.columns, *(v.alias(c) for c, v in filled.items()))
 
 
 @dataclass(frozen=True)
 class Resolution:
+    """Results that read the tables of ``ws``; close it, or leave the ``with`` block, when they are written."""
+
     mapping: DataFrame
     final: DataFrame
+    ws: Workspace
+
+    def close(self) -> None:
+        self.ws.close()
+
+    def __enter__(self) -> "Resolution":
+        return self
+
+    def __exit__(self, *_exc) -> None:
+        self.close()
 
 
 def resolve(
@@ -100,11 +127,13 @@ def resolve(
     cfg = cfg or ResolveConfig()
     ws = ws or Workspace(df.sparkSession)
     # The distinct names are read three times; the input itself only here and in the final join.
-    cleaned, _ = ws.save(cleaning_map(df, name_col), "cleaned")
+    counted, _ = ws.save(counted_cleaning_map(df, name_col, cfg), "cleaned")
+    cleaned = counted.drop("n")
     clusters = cluster_names(cleaned, cfg=cfg, ws=ws)
     # The cleaning map is distinct per original and the clusters per cleaned name: nothing to dedupe.
     mapping, _ = ws.save(attach_clusters(cleaned, clusters), "mapping")
-    return Resolution(mapping, merge_back(df, mapping, name_col, cfg.broadcast_bytes, ws))
+    final = merge_back(df, mapping, name_col, cfg.broadcast_bytes, ws, counted.select("original_name", "n"))
+    return Resolution(mapping, final, ws)
 
 
 def largest_clusters(mapping: DataFrame, clusters: int = 5, samples: int = 5) -> DataFrame:

@@ -30,13 +30,18 @@ CSV_NULLS = (
 )
 
 
-def read_csv(spark: SparkSession, path: str, name_col: str, schema: StructType | str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, name_col: str, schema: StructType | str | None = None, multi_line: bool = True
+) -> DataFrame:
     """CSV with a header. The name column is text; null texts become null in every column.
 
+    With ``multi_line`` a quoted field may hold line breaks, and a file is read by one task; without it files are
+    split, which suits few large files that are known to have no such field.
+
     Give ``schema`` for large inputs: without it the types of the other columns are inferred, which
     reads the data one extra time.
     """
-    options = {"header": True, "multiLine": False, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": ""}
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "emptyValue": "", "nullValue": ""}
     if schema is None:
         inferred = spark.read.options(**options, inferSchema=True).csv(path).schema
         for field in inferred.fields:
@@ -59,16 +64,20 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
+# Line breaks, quotes and blanks at the ends are part of a text.
+_EXACT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_mapping_csv(mapping: DataFrame, path: str) -> None:
     """The mapping as CSV with a header; replaces what is there."""
-    mapping.write.mode("overwrite").options(header=True, escape='"').csv(path)
+    mapping.write.mode("overwrite").options(**_EXACT).csv(path)
 
 
 def read_mapping_csv(spark: SparkSession, path: str) -> DataFrame:
     """A mapping written by :func:`write_mapping_csv`; tells a name that cleans to nothing from a null."""
     schema = "original_name string, cleaned_name string, cluster_id bigint, representative_name string"
     # Spark reads an unquoted empty field as the null text and a quoted one as the empty text.
-    options = {"header": True, "escape": '"', "emptyValue": "", "nullValue": "\u0000"}
+    options = {"header": True, "multiLine": True, "escape": '"', "emptyValue": "", "nullValue": "\u0000"}
     return spark.read.schema(schema).options(**options).csv(path)
 
 
@@ -76,7 +85,7 @@ def write_dataset(final: DataFrame, path: str, fmt: str = "parquet") -> None:
     """The resolved rows as Parquet or CSV; replaces what is there."""
     writer = final.write.mode("overwrite")
     if fmt == "csv":
-        writer.options(header=True, escape='"').csv(path)
+        writer.options(**_EXACT).csv(path)
     else:
         writer.format(fmt).save(path)
 

@@ -7,30 +7,14 @@ decides broadcasts from facts instead of estimates.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-_local_root: str | None = None
-
-
 def _session_root(spark: SparkSession) -> str:
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir()
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    global _local_root
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="namefold-")
-        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
-    return _local_root
+    """The session's shared checkpoint folder, or else a folder in its warehouse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/namefold-work"
 
 
 class Workspace:
@@ -52,6 +36,10 @@ class Workspace:
         stored._namefold_path = path
         return stored, (observation.get if metrics else {})
 
+    def scratch(self) -> "Workspace":
+        """A workspace inside this one, for tables that are not needed to the end."""
+        return Workspace(self.spark, self.path)
+
     def discard(self, stored: DataFrame) -> None:
         """Delete a table written by :meth:`save` that no later step reads."""
         self._delete(stored._namefold_path)

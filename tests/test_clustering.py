@@ -12,6 +12,7 @@ from namefold.config import PassParams, ResolveConfig
 from namefold.operators import components, features, names, neighbours, simjoin
 from namefold.plans import cluster
 
+# Names whose clusters are known.
 DEMO = [
     "john smith", "john smth", "jon smith", "john smith", "sarah connor", "sarah conner", "sara connor",
     "aviva insurance", "aviva ins", "avvia insurance", "direct line group", "direct line grp",
@@ -167,6 +168,54 @@ def test_components_match_union_find(spark, ws, seed):
     assert [got[i] for i in range(count)] == plain.roots(count, edges)
 
 
+def skew_splits(df):
+    """Joins that adaptive execution split when the query ran."""
+    df.count()
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().count("skew=true")
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.fixture()
+def skewed(spark):
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    yield
+    for k in SKEW:
+        spark.conf.unset(k)
+
+
+def test_hot_nodes_are_split(spark, ws, skewed):
+    star, _ = ws.save(spark.range(1, 60_000).selectExpr("id as u", "cast(0 as bigint) as v").repartition(6), "edges")
+    low, _ = ws.save(spark.sql(components._LOWEST, edges=star), "low")
+    assert skew_splits(spark.sql(components._LARGE, edges=star, low=low)) >= 1
+    hub, _ = ws.save(spark.range(60_000).selectExpr("cast(60000 as bigint) as u", "id as v").repartition(6), "hub")
+    low, _ = ws.save(spark.sql(components._LOWEST, edges=hub), "low")
+    assert skew_splits(spark.sql(components._SMALL, edges=hub, low=low)) >= 1
+
+
+def test_hot_token_group_is_split(spark, ws, skewed):
+    made = spark.range(40_000).selectExpr(
+        "id", "concat('n', id) as cleaned_name", "if(id % 3 = 0, 'same tokens', concat('t', id)) as token_key"
+    )
+    numbered, _ = ws.save(made.repartition(6), "names")
+    members, shared = names.token_groups(numbered, ws)
+    assert shared == 13_334 and members.filter("gid <> id").count() == 13_333
+    groups = spark.createDataFrame([("same tokens", 0, 13_334)], "token_key string, gid bigint, size bigint")
+    plain, _ = ws.save(groups, "groups")
+    assert skew_splits(numbered.join(plain, "token_key", "left")) >= 1
+
+
 def test_component_stats_without_edges(spark):
     rows = spark.createDataFrame([(1, 1), (2, 2)], "id bigint, root bigint")
     stats = components.size_stats(rows).first().asDict()

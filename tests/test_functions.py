@@ -13,6 +13,7 @@ from namefold.functions.kernels import PLANES, WORDS, dot_products, lcs_in_chunk
 from namefold.functions.text import char_wb_grams, token_key, tokens
 
 CLEANED = [
+    # fixed values: inputs and results that are known
     ("Mr. John Doe 12/01/2023", "john doe"),
     ("DR SARAH CONNOR!!!", "sarah connor"),
     ("##Miss Jane 01-12-99", ""),

@@ -3,8 +3,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from namefold.config import ResolveConfig
 from namefold.operators import names
-from namefold.plans import profiles, resolve
+from namefold.plans import profiles, resolve, run
 from namefold.sources import files
 from namefold.workspace import Workspace
 
@@ -58,7 +59,9 @@ def test_merge_back_is_the_same_on_both_sides_of_the_limit(spark, ws, monkeypatc
     )
     small = resolve.merge_back(rows, mapping, "payee")
     monkeypatch.setattr(resolve, "HOT_NAME_SHARE", 20)  # only "hot" is hot
-    large = resolve.merge_back(rows, mapping, "payee", 10, ws)
+    large = resolve.merge_back(rows, mapping, "payee", 1000, ws)  # room for the hot name only
+    none = resolve.merge_back(rows, mapping, "payee", 10, ws)  # not even for that
+    assert sorted(map(tuple, none.collect()), key=str) == sorted(map(tuple, small.collect()), key=str)
     assert small.columns == large.columns and small.dtypes == large.dtypes
     want = sorted(map(tuple, small.collect()), key=str)
     assert sorted(map(tuple, large.collect()), key=str) == want
@@ -71,8 +74,9 @@ def test_merge_back_is_the_same_on_both_sides_of_the_limit(spark, ws, monkeypatc
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert plan(resolve.merge_back(rows, mapping, "payee")).count("BroadcastHashJoin") == 1
-        large_plan = plan(resolve.merge_back(rows, mapping, "payee", 10, ws))
-        assert large_plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" in large_plan
+        large_plan = plan(resolve.merge_back(rows, mapping, "payee", 1000, ws))
+        assert large_plan.count("BroadcastHashJoin") == 1 and large_plan.count("SortMergeJoin") == 1
+        assert large_plan.count("Range (0, 2000") == 1  # the input is scanned once
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -103,6 +107,50 @@ def test_csv_nulls_and_types(spark, tmp_path):
     assert {r["amount"] for r in typed.collect()} == {None, 2, 3, 4, 5, 6, 7}
 
 
+def test_csv_line_breaks(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('PayeeName,amount\n"Smith\nJohn",1\n" Ann ",2\n')
+    schema = "PayeeName string, amount int"
+    got = {r["amount"]: r["PayeeName"] for r in files.read_csv(spark, str(path), "PayeeName", schema).collect()}
+    assert got == {1: "Smith\nJohn", 2: " Ann "}
+    assert files.read_csv(spark, str(path), "PayeeName", schema, multi_line=False).count() == 3
+    mapping = spark.createDataFrame(
+        [("a\nb", "", 1, "x"), (' "q", ', "c", None, None), ("", "", None, None)],
+        "original_name string, cleaned_name string, cluster_id bigint, representative_name string",
+    )
+    files.write_mapping_csv(mapping, str(tmp_path / "mapping"))
+    back = files.read_mapping_csv(spark, str(tmp_path / "mapping")).collect()
+    assert sorted(map(tuple, back), key=str) == sorted(map(tuple, mapping.collect()), key=str)
+
+
+def test_run_from_source_to_sink(spark, rows, tmp_path):
+    files.write_dataset(rows, str(tmp_path / "in.csv"), "csv")
+    rows.write.parquet(str(tmp_path / "in"))
+    want = None
+    for source in ("in.csv", "in"):
+        for sink in (f"{tmp_path}/out-{source}", "t_run_" + source.replace(".", "_")):
+            written = run.run(spark, str(tmp_path / source), sink, "payee", schema=rows.schema)
+            found = sorted(map(tuple, written.final.collect()), key=str)
+            assert written.mapping.count() == 8 and found == (want or found)
+            want = found
+
+
+def test_nothing_is_left_after_close(spark, rows, tmp_path):
+    with Workspace(spark, str(tmp_path)) as ws:
+        with resolve.resolve(rows, "payee", ws=ws) as result:
+            assert result.final.count() == len(ROWS)
+            tables = [p for p in (tmp_path / ws.path.split("/")[-1]).iterdir() if "namefold-" not in p.name]
+            assert len(tables) <= 12  # what the rounds needed in between is gone
+        assert not list(tmp_path.iterdir())
+
+
+def test_own_word_lists(spark):
+    df = spark.createDataFrame([("Herr Max GmbH Co KG",)], "payee string")
+    cfg = ResolveConfig(honorifics=("herr",), junk_words=("gmbh", "co kg"))
+    assert names.cleaning_map(df, "payee", cfg).first()["cleaned_name"] == "max"
+    assert names.cleaning_map(df, "payee").first()["cleaned_name"] == "herr max gmbh co kg"
+
+
 def test_sinks(spark, ws, rows, tmp_path):
     result = resolve.resolve(rows, "payee", ws=ws)
     files.write_mapping_csv(result.mapping, str(tmp_path / "mapping"))
