@@ -7,11 +7,11 @@ with numpy by accelerated proximal gradient descent. An L1 penalty above the noi
 words, which are then fitted alone, so a long clean text does not gather noise, and scoring looks up only those words.
 
 Training takes a documented, bounded sample: at most ``per_class`` toxic and twice as many clean labelled documents,
-chosen by a hash of doc_id. Their words are counted on the executors; the driver gets counts only.
+chosen by a hash of doc_id. Their hashed features are counted on the executors; the driver gets numbers only.
 
 Severity grades: ``grade_labels`` turns 0/1 labels into grades. Grade 0 is a clean document. A toxic document gets
-grade 1, 2 or 3 by the third in which its share of marked words falls, where a word is marked if its share of toxic
-documents is over ``LIFT`` times that of clean ones, as is its beginning. With graded labels at hand, ``train`` takes them as they are.
+grade 1, 2 or 3 by the third in which its share of marked features falls, where a feature is marked if its share of
+toxic documents is over ``LIFT`` times that of clean ones. With graded labels at hand, ``train`` takes them as they are.
 
 Nulls: a null or empty text has no features and gets the base rate; labels without an id, document or value are not
 used; a document with several labels is used once per label. Repeated rows are scored alike. Other columns are not
@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,6 @@ PER_CLASS = 1500
 CACHE_WORDS = 200_000
 PER_WORDS = 200
 PREFIX = (4, 8)
-PREFIX_WORDS = 3  # a beginning is a feature if so many words of the sample have it
 SCREENED = 500  # features with the strongest pull at the start, which the L1 penalty chooses from
 GRADES = 4
 LIFT = 20.0
@@ -48,16 +48,17 @@ STEPS = 300
 REJECT_AT = 0.5  # P(grade > 0)
 
 
-def features_of(word: bytes) -> list[bytes]:
-    """The word, and its beginnings of 4 to 8 bytes, marked by a star: inflected and compound forms share them."""
-    return [word, *(word[:k] + b"*" for k in range(PREFIX[0], min(PREFIX[1], len(word) - 1) + 1))]
+def features_of(word: bytes) -> list[int]:
+    """Hashes of the word and of its beginnings of 4 to 8 bytes: inflected and compound forms share these."""
+    starts = (word[:k] + b"*" for k in range(PREFIX[0], min(PREFIX[1], len(word) - 1) + 1))
+    return [xxhash.xxh32_intdigest(f) for f in (word, *starts)]
 
 
 @dataclass(frozen=True)
 class Severity:
-    """``weights``: feature to weight; P(grade <= k) = sigmoid(thresholds[k] - score)."""
+    """``weights``: hashed feature to weight; P(grade <= k) = sigmoid(thresholds[k] - score)."""
 
-    weights: dict[bytes, float]
+    weights: dict[int, float]
     thresholds: tuple[float, ...]
 
     def probabilities(self, scores: np.ndarray) -> np.ndarray:
@@ -74,7 +75,7 @@ class Scorer:
 
     def __init__(self, model: Severity):
         self.model = model
-        self.known: dict[bytes, tuple[bytes, ...]] = {}
+        self.known: dict[bytes, tuple[int, ...]] = {}
 
     def score(self, text: bytes | None) -> float:
         words, known, weights = plain_words(text or b""), self.known, self.model.weights
@@ -107,33 +108,44 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> Da
     return docs.select("doc_id", "text").join(chosen, "doc_id")
 
 
-def word_counts(labelled: DataFrame) -> list:
-    """``(doc_id, label, n_words, words, counts)`` of the sampled documents."""
+def feature_counts(labelled: DataFrame) -> list:
+    """``(doc_id, label, n_words, features, counts)`` of the sampled documents, as little-endian 32-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [Counter(plain_words(t.as_py() or b"")) for t in batch.column("text").cast(pa.binary())]
+            rows = [counted(t.as_py() or b"") for t in batch.column("text").cast(pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("label"),
-                    pa.array([sum(r.values()) for r in rows], pa.int64()),
-                    pa.array([list(r) for r in rows], pa.list_(pa.binary())),
-                    pa.array([list(r.values()) for r in rows], pa.list_(pa.int32())),
+                    pa.array([n for n, _, _ in rows], pa.int64()),
+                    pa.array([f for _, f, _ in rows], pa.binary()),
+                    pa.array([c for _, _, c in rows], pa.binary()),
                 ],
-                ["doc_id", "label", "n_words", "words", "counts"],
+                ["doc_id", "label", "n_words", "features", "counts"],
             )
 
-    schema = "doc_id bigint, label int, n_words bigint, words array<binary>, counts array<int>"
+    schema = "doc_id bigint, label int, n_words bigint, features binary, counts binary"
     found = labelled.select(F.col("doc_id").cast("bigint").alias("doc_id"), "label", "text")
-    return sorted(found.mapInArrow(run, schema).collect(), key=lambda r: (r.doc_id, r.label))
+    return sorted(found.mapInArrow(run, schema).collect(), key=lambda r: (r.doc_id, r.label, r.n_words))
+
+
+def counted(text: bytes) -> tuple[int, bytes, bytes]:
+    """Words, hashed features and their counts."""
+    words = Counter(plain_words(text))
+    found: Counter = Counter()
+    for w, c in words.items():
+        for f in features_of(w):
+            found[f] += c
+    features, counts = np.array(list(found), "<u4"), np.array(list(found.values()), "<u4")
+    return sum(words.values()), features.tobytes(), counts.tobytes()
 
 
 @dataclass
 class Matrix:
     """Sparse feature counts of the sample: parallel rows, columns and counts, one entry per document and feature."""
 
-    names: list[bytes]
+    names: np.ndarray
     doc: np.ndarray
     col: np.ndarray
     count: np.ndarray
@@ -143,39 +155,33 @@ class Matrix:
     def value(self) -> np.ndarray:
         return np.log1p(PER_WORDS * self.count / self.length[self.doc])
 
+    def columns(self, chosen: np.ndarray) -> "Matrix":
+        number = np.full(len(self.names), -1, np.int32)
+        number[chosen] = np.arange(len(chosen))
+        col = number[self.col]
+        kept = col >= 0
+        return Matrix(self.names[chosen], self.doc[kept], col[kept], self.count[kept], self.length)
+
+    def distinct(self) -> "Matrix":
+        """One column of each set of equal ones, such as a word and the beginnings that only it has."""
+        mark = np.random.default_rng(0).random(len(self.length))
+        same = np.bincount(self.col, weights=self.count * mark[self.doc], minlength=len(self.names))
+        return self.columns(np.sort(np.unique(np.round(same, 9), return_index=True)[1]))
+
 
 def feature_matrix(rows: list) -> Matrix:
     """Counts of the features that at least ``MIN_DOCUMENTS`` documents have."""
-    words: dict[bytes, int] = {}
-    doc = np.repeat(np.arange(len(rows)), [len(r.words) for r in rows])
-    word = np.array([words.setdefault(bytes(w), len(words)) for r in rows for w in r.words], np.int64)
-    count = np.array([c for r in rows for c in r.counts], np.int64)
-    names: dict[bytes, int] = {}
-    shared = Counter(f for w in words for f in features_of(w)[1:])
-    own = [
-        [names.setdefault(f, len(names)) for f in features_of(w) if f is w or shared[f] >= PREFIX_WORDS] for w in words
-    ]
-    width = np.array([len(f) for f in own], np.int64)
-    start = np.concatenate(([0], np.cumsum(width)))[:-1]
-    flat = np.array([f for fs in own for f in fs], np.int64)
-    times = width[word]
-    inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    pair = np.repeat(doc, times) * max(1, len(names)) + flat[np.repeat(start[word], times) + inside]
-    pair, where = np.unique(pair, return_inverse=True)
-    total = np.bincount(where, weights=np.repeat(count, times), minlength=len(pair))
-    doc, col = pair // max(1, len(names)), pair % max(1, len(names))
-    frequent = np.bincount(col, minlength=len(names)) >= MIN_DOCUMENTS
-    kept = frequent[col]
-    number = np.cumsum(frequent) - 1
-    every = list(names)
-    return Matrix([every[i] for i in np.flatnonzero(frequent)], doc[kept], number[col[kept]], total[kept], np.maximum(1, [r.n_words for r in rows]))
-
-
-def _columns(m: Matrix, chosen: np.ndarray) -> Matrix:
-    number = np.full(len(m.names), -1)
-    number[chosen] = np.arange(len(chosen))
-    kept = number[m.col] >= 0
-    return Matrix([m.names[i] for i in chosen], m.doc[kept], number[m.col[kept]], m.count[kept], m.length)
+    features = [np.frombuffer(r.features, "<u4") for r in rows]
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(f) for f in features])
+    every = np.concatenate(features or [np.zeros(0, "<u4")])
+    count = np.concatenate([np.frombuffer(r.counts, "<u4") for r in rows] or [np.zeros(0, "<u4")])
+    names, seen = np.unique(every, return_counts=True)
+    names = names[seen >= MIN_DOCUMENTS]
+    place = np.searchsorted(names, every).astype(np.int32)
+    kept = place < len(names)
+    kept[kept] = names[place[kept]] == every[kept]
+    length = np.array([max(1, r.n_words) for r in rows], np.int64)
+    return Matrix(names, doc[kept], place[kept], count[kept], length)
 
 
 def grade_labels(rows: list, m: Matrix) -> np.ndarray:
@@ -233,7 +239,7 @@ def _descend(doc, col, val, grades, m, l1, l2, steps) -> tuple[np.ndarray, np.nd
 def train(m: Matrix, grades: np.ndarray) -> Severity:
     """Fit weights and thresholds to graded documents: features are chosen with an L1 penalty, then fitted without."""
     grades = np.unique(np.asarray(grades), return_inverse=True)[1]
-    if not len(grades) or not grades.max() or not m.names:
+    if not len(grades) or not grades.max() or not len(m.names):
         return Severity({}, ())
     n = len(grades)
     # Columns of one size, so that the noise of a gradient, and the penalty above it, is the same for all features.
@@ -241,16 +247,17 @@ def train(m: Matrix, grades: np.ndarray) -> Severity:
     size = np.sqrt(np.bincount(m.col, weights=value * value, minlength=len(m.names)) / n)
     pull = np.abs(np.bincount(m.col, weights=value * ((grades > 0) - (grades > 0).mean())[m.doc], minlength=len(size)))
     near = np.sort(np.argsort(-pull / size, kind="stable")[:SCREENED])
-    m, size = _columns(m, near), size[near]
+    m = m.columns(near).distinct()
+    size = np.sqrt(np.bincount(m.col, weights=m.value**2, minlength=len(m.names)) / n)
     value = m.value / size[m.col]
     chosen, _ = _descend(m.doc, m.col, value, grades, len(m.names), NOISE / np.sqrt(n), 0.0, STEPS)
-    m = _columns(m, np.flatnonzero(chosen))
+    m = m.columns(np.flatnonzero(chosen))
     weights, theta = _descend(m.doc, m.col, m.value, grades, len(m.names), 0.0, RIDGE, 4 * STEPS)
-    return Severity(dict(zip(m.names, map(float, weights))), tuple(map(float, theta)))
+    return Severity(dict(zip(map(int, m.names), map(float, weights))), tuple(map(float, theta)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Severity:
-    rows = word_counts(sample(docs, labels, "toxic", per_class))
+    rows = feature_counts(sample(docs, labels, "toxic", per_class))
     if not rows:
         return Severity({}, ())
     matrix = feature_matrix(rows)
