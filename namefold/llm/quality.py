@@ -31,7 +31,7 @@ PER_CLASS = 1500
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 ORDERS = (3, 4, 5)
-EPOCHS = 6
+STEPS = 18_000  # documents shown, whatever the size of the sample
 RATE = 0.5
 CUTOFF = 0.7
 PIECE = 400_000  # code points hashed at once
@@ -149,7 +149,7 @@ def feature_counts(labelled: DataFrame) -> list:
     return sorted(rows, key=lambda r: (r.doc_id, r.label))
 
 
-def train(rows: list, epochs: int = EPOCHS, rate: float = RATE, seed: int = 1) -> Quality:
+def train(rows: list, steps: int = STEPS, rate: float = RATE, seed: int = 1) -> Quality:
     """Stochastic gradient descent over ``(label, buckets, counts)``."""
     labels = np.array([r.label for r in rows], np.int64)
     if len(set(labels.tolist())) < 2:
@@ -163,9 +163,9 @@ def train(rows: list, epochs: int = EPOCHS, rate: float = RATE, seed: int = 1) -
     output = rng.uniform(-0.1, 0.1, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     weight = len(rows) / (2.0 * np.bincount(labels, minlength=2))
-    steps, done = epochs * len(rows), 0
-    for _ in range(epochs):
-        for i in rng.permutation(len(rows)).tolist():
+    done = 0
+    while done < steps:
+        for i in rng.permutation(len(rows)).tolist()[: steps - done]:
             ids, share = shown[i]
             pace = rate * (1 - done / steps)
             done += 1
