@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from namefold.llm import decontam, licenses, mixing, multiset, quality, secret_forest, simhash, token_orc, toxicity, urls
+from namefold.llm.oracles import ORACLES  # noqa: F401
 from namefold.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,4 +90,3 @@ QUERIES: dict[str, Query] = {
     "op10_license_rules": op10_license_rules,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
