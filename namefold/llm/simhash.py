@@ -213,7 +213,8 @@ def components(docs: DataFrame, setting: SimHash, ws: Workspace, *carried: str)
     linked = connected_components(near_edges(nodes, setting, ws), ws)
     rooted = nodes.join(linked.select(F.col("node").alias("id"), "root"), "id", "left")
     rooted, _ = ws.save(rooted.select(*prints, "first", F.coalesce("root", "id").alias("root")), "rooted")
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Written, so that a large component's nodes can be split: a plain table is on either side of the join.
+    lowest, _ = ws.save(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "lowest")
     groups, _ = ws.save(rooted.join(lowest, "root").select(*prints, "component_id", "root"), "groups")
     return rows.join(groups, prints, "left")
 
