@@ -107,13 +107,16 @@ def contaminated_texts(docs: DataFrame, items: DataFrame, ws: Workspace) -> Data
     """``(key, n_hit, n_items, items_sha256)`` of the distinct texts that share a window with an item."""
     windows, sets, prints, widths = benchmark_windows(items, ws)
     # 1. Candidate texts with the fingerprints that they share with the benchmark.
-    own = _with_hashes(docs.select("text", _text_key(F.col("text")).alias("key")))
+    own = _with_hashes(docs.select("doc_id", "text", _text_key(F.col("text")).alias("key")))
     every = F.array_distinct(F.concat(F.array().cast("array<bigint>"), *(_fingerprints(w) for w in widths)))
-    narrow = own.select("key", F.explode(every).alias("print"))
-    hits = narrow.join(prints, "print", "left_semi").groupBy("key").agg(F.collect_set("print").alias("hits"))
+    narrow = own.select("doc_id", "key", F.explode(every).alias("print"))
+    hits = narrow.join(prints, "print", "left_semi").groupBy("key")
+    hits = hits.agg(F.collect_set("print").alias("hits"), F.min("doc_id").alias("first_id"))
     hits, _ = ws.save(hits, "hits")
     # 2. The windows of these fingerprints, compared with the items'.
-    texts = docs.select("text", _text_key(F.col("text")).alias("key")).join(hits, "key").dropDuplicates(["key"])
+    # Of a text's copies only the first is taken on, before an exchange; rows with one id may still repeat.
+    texts = docs.select("doc_id", "text", _text_key(F.col("text")).alias("key")).join(hits, "key")
+    texts = texts.filter(F.col("doc_id").eqNullSafe(F.col("first_id"))).dropDuplicates(["key"])
     texts = _with_hashes(texts).withColumn("words", _words(lower_ascii(F.col("text"))))
     spans = F.array().cast("array<struct<place:int,width:int,window:string>>")
     for width in widths:
