@@ -14,6 +14,7 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 2048  # lanes of a block
+CELLS = 1 << 17  # distances counted at once
 
 
 class _Block:
@@ -48,6 +49,28 @@ def within(planes: list[int], query: list[int], lanes: int, full: int, radius: i
     return lanes
 
 
+def paired(words: np.ndarray, radius: int) -> np.ndarray:
+    """Which rows have another row at ``radius`` or less; the others have no link. At most four words and radius 190."""
+    n = len(words)
+    columns = np.ascontiguousarray(words.T)
+    out = np.zeros(n, bool)
+    step = max(1, CELLS // n)
+    for a in range(0, n, step):
+        b = min(n, a + step)
+        near = np.bitwise_count(columns[0, a:b, None] ^ columns[0, None, a:])
+        for column in columns[1:-1]:
+            near += np.bitwise_count(column[a:b, None] ^ column[None, a:])
+        hit = near <= radius
+        if len(columns) > 1:
+            # Without the last word a distance fits in a byte, and with it, if it was within the radius before.
+            near += np.bitwise_count(columns[-1, a:b, None] ^ columns[-1, None, a:])
+            hit &= near <= radius
+        hit[np.arange(b - a), np.arange(b - a)] = False
+        out[a:b] |= hit.any(axis=1)
+        out[a:] |= hit.any(axis=0)
+    return out
+
+
 def links(words: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """A spanning forest of the links at ``radius`` or less; ``words``: one row of unsigned 64-bit integers each."""
     n = len(words)

@@ -3,8 +3,8 @@
 1. Every whole text gets a fingerprint: bit i is set if it is set in over half of its shingles' hashes.
 2. Equal fingerprints become one node, aggregated before the exchange; a group of exact copies of any size costs one
    row per task from here on.
-3. Nodes meet in buckets whose key is part of the fingerprint. Buckets of over ``HOT`` nodes are dealt again by more
-   of the fingerprint, so no key gathers an unbounded group. Inside a bucket, ``bitslice`` compares the members and
+3. Nodes meet in buckets whose key is part of the fingerprint. Hot buckets are dealt again by more of the
+   fingerprint (``EXACT``) or cut into blocks (``NEAR``), so no key gathers an unbounded group. Inside a bucket, ``bitslice`` compares the members and
    emits a spanning forest of the links, never all pairs.
 4. Links of all buckets are joined to components, and every document gets the smallest doc_id of its component.
 
@@ -14,8 +14,8 @@ bucket then holds at most 2**16 nodes, whatever the input.
 
 ``NEAR`` is for similarities rather than for a few bits: 256 bits over shingles of five words, radius 44, which
 stands for a Jaccard similarity of about 0.8 (0.75 to 0.85, the estimate has an error). Its keys are 20 bands of 12
-bits; a pair at 0.8 shares a band with 95 percent, a closer one more surely. Hot buckets are dealt again by the
-other bands.
+bits; a pair at 0.8 shares a band with 95 percent, a closer one more surely. A bucket of over ``BLOCK`` nodes is cut
+into blocks, and every pair of blocks is a group of its own, so all pairs of the bucket still meet.
 
 Nulls: a null or blank text has fingerprint zero and is linked like any other; a document without an id takes part,
 but the smallest id is taken of the others (null if there is none). Fewer words than a shingle: the whole sequence
@@ -40,6 +40,7 @@ from namefold.operators.components import connected_components
 from namefold.workspace import Workspace
 
 HOT = 4096
+BLOCK = 1 << 15  # nodes of a block of a hot bucket
 SEED = 42
 CHUNK = 1 << 14  # shingles counted at once
 # Odd constants that turn one 64-bit hash into further ones. Fixed values.
@@ -54,7 +55,7 @@ class SimHash:
     words: int  # 64-bit words of a fingerprint
     radius: int
     keys: tuple[tuple[Piece, ...], ...]  # the pieces that make each bucket key
-    again: tuple[tuple[tuple[Piece, ...], ...], ...]  # for each key, the keys that deal its hot buckets again
+    again: tuple[tuple[tuple[Piece, ...], ...], ...]  # for each key, the keys that deal its hot buckets again, or none
 
 
 def _exact() -> SimHash:
@@ -70,8 +71,7 @@ def _exact() -> SimHash:
 
 def _near() -> SimHash:
     bands = [((w, 12 * i, 12),) for w in range(4) for i in range(5)]
-    again = tuple(tuple(other for other in bands if other != band) for band in bands)
-    return SimHash(5, 4, 44, tuple(bands), again)
+    return SimHash(5, 4, 44, tuple(bands), ())
 
 
 EXACT, NEAR = _exact(), _near()
@@ -161,8 +161,9 @@ def _compare(setting: SimHash, keys: list[str]):
             u, v = [], []
             for g in np.flatnonzero(np.diff(starts) > 1).tolist():
                 a, b = int(starts[g]), int(starts[g + 1])
-                for i, j in bitslice.links(words[a:b], setting.radius):
-                    x, y = int(ids[a + i]), int(ids[a + j])
+                members = np.arange(a, b) if setting.again else a + np.flatnonzero(bitslice.paired(words[a:b], setting.radius))
+                for i, j in bitslice.links(words[members], setting.radius) if len(members) else ():
+                    x, y = int(ids[members[i]]), int(ids[members[j]])
                     u.append(max(x, y))
                     v.append(min(x, y))
             return u, v, kept
@@ -184,23 +185,36 @@ def _compare(setting: SimHash, keys: list[str]):
     return run
 
 
-def near_edges(nodes: DataFrame, setting: SimHash, ws: Workspace, hot: int = HOT) -> DataFrame:
-    """Links ``(u, v)``, u > v, between nodes ``(id, f0, ...)`` that connect what lies within the radius."""
+def _block_pairs(item: Column, blocks: Column) -> Column:
+    """Numbers of the pairs of blocks that an item takes part in, so that any two items of a group meet in one."""
+    own = F.pmod(F.xxhash64(item), blocks)
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), blocks - 1), lambda c: F.least(own, c) * blocks + F.greatest(own, c))
+
+
+def placed(nodes: DataFrame, setting: SimHash, ws: Workspace, hot: int | None = None) -> DataFrame:
+    """Nodes with the groups ``(key, part)`` in which they are compared, none of them unbounded."""
     prints = [f"f{w}" for w in range(setting.words)]
+    hot = hot or (HOT if setting.again else BLOCK)
     keyed = nodes.select("id", *prints, F.explode(F.array(*(_key(i, k) for i, k in enumerate(setting.keys)))).alias("key"))
     # At most one in ``hot`` rows is the key of a hot bucket; written, so that Spark knows its size.
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot)
     crowded, _ = ws.save(sizes, "crowded")
     keyed = keyed.join(crowded, "key", "left")
-    width = [sum(p[2] for p in k) for k in setting.keys]
-    deals = [F.array(*(_key(j, k) for j, k in enumerate(again))) for again in setting.again]
-    number = F.shiftrightunsigned("key", width[0])
     dealt = F.when(F.col("n").isNull(), F.array(F.lit(-1).cast("bigint")))
-    for i, deal in enumerate(deals):
-        dealt = dealt.when(number == i, deal)
-    placed = keyed.select("id", *prints, "key", F.explode(dealt).alias("part"))
-    placed = placed.repartition("key", "part").sortWithinPartitions("key", "part")
-    edges = placed.mapInArrow(_compare(setting, ["key", "part"]), "u bigint, v bigint")
+    if setting.again:
+        width = [sum(p[2] for p in k) for k in setting.keys]
+        number = F.shiftrightunsigned("key", width[0])
+        for i, again in enumerate(setting.again):
+            dealt = dealt.when(number == i, F.array(*(_key(j, k) for j, k in enumerate(again))))
+    else:
+        dealt = dealt.otherwise(_block_pairs(F.col("id"), F.ceil(F.col("n") / hot)))
+    return keyed.select("id", *prints, "key", F.explode(dealt).alias("part"))
+
+
+def near_edges(nodes: DataFrame, setting: SimHash, ws: Workspace, hot: int | None = None) -> DataFrame:
+    """Links ``(u, v)``, u > v, between nodes ``(id, f0, ...)`` that connect what shares a key and lies within the radius."""
+    groups = placed(nodes, setting, ws, hot).repartition("key", "part").sortWithinPartitions("key", "part")
+    edges = groups.mapInArrow(_compare(setting, ["key", "part"]), "u bigint, v bigint")
     return ws.save(edges.distinct(), "links")[0]
 
 

@@ -379,6 +379,50 @@ def test_simhash_hot_buckets_lose_nothing(spark, ws):
     assert classes(found) == classes(every) and len(every) >= 300
 
 
+def _classes(n, edges):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for u, v in edges:
+        a, b = find(u), find(v)
+        root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
+def test_near_hot_buckets_lose_nothing(spark, ws):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, (60, 4), dtype=np.uint64)
+    values = []
+    for row in np.repeat(base, 3, axis=0):
+        for b in rng.choice(256, 24, replace=False):
+            row[b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+        # One band that all share is hot; pairs need not share another.
+        row[0] &= ~np.uint64(0xFFF)
+        values.append(row)
+    table = np.array(values).view(np.int64).tolist()
+    nodes = spark.createDataFrame([(i, *r) for i, r in enumerate(table)], "id bigint, f0 bigint, f1 bigint, f2 bigint, f3 bigint")
+    every, cut = ({(r.u, r.v) for r in simhash.near_edges(nodes, simhash.NEAR, ws, hot=h).collect()} for h in (10**6, 2))
+    distance = lambda i, j: int(np.bitwise_count(values[i] ^ values[j]).sum())
+    brute = [(i, j) for i in range(180) for j in range(i) if distance(i, j) <= simhash.NEAR.radius]
+    assert len(brute) > 100
+    assert _classes(180, cut) == _classes(180, every) == _classes(180, brute)
+
+
+@pytest.mark.parametrize("radius,width", [(2, 1), (44, 4), (72, 4)])
+def test_paired(radius, width):
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 2**63, (700, width), dtype=np.uint64)
+    words[1] = ~words[0]
+    words[5:300:7] = words[2] ^ np.uint64(1)
+    distance = np.bitwise_count(words[:, None] ^ words[None]).sum(axis=2, dtype=int)
+    np.fill_diagonal(distance, 999)
+    assert (bitslice.paired(words, radius) == (distance <= radius).any(axis=1)).all()
+
+
 def test_simhash_edges(spark, ws):
     found = simhash.components(plain.edge_docs(spark), simhash.EXACT, ws)
     got = {(r.doc_id, r.f0): r.component_id for r in found.collect()}
