@@ -11,6 +11,8 @@ about as much as its first row. Links come out as a spanning forest: fewer than
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 BLOCK = 2048  # lanes of a block
@@ -71,13 +73,18 @@ def paired(words: np.ndarray, radius: int) -> np.ndarray:
     return out
 
 
-def links(words: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links at ``radius`` or less; ``words``: one row of unsigned 64-bit integers each."""
+def links(
+    words: np.ndarray, radius: int, confirm: Callable[[int, int], bool] | None = None
+) -> list[tuple[int, int]]:
+    """A spanning forest of the links at ``radius`` or less; ``words``: one row of unsigned 64-bit integers each.
+
+    With ``confirm``, a pair within the radius is a link only if it says so.
+    """
     n = len(words)
     bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")
     # Planes on which all members agree cannot add to a distance.
     bits = np.ascontiguousarray(bits[:, bits.any(axis=0) & ~bits.all(axis=0)])
-    if not bits.shape[1]:
+    if not bits.shape[1] and confirm is None:
         return [(0, i) for i in range(1, n)]
     blocks = [_Block(bits[a : a + BLOCK], a) for a in range(0, n, BLOCK)]
     root = list(range(n))
@@ -106,6 +113,9 @@ def links(words: np.ndarray, radius: int) -> list[tuple[int, int]]:
             lanes = within(block.planes, query, lanes, block.all, radius)
             while lanes:
                 other = block.first + (lanes & -lanes).bit_length() - 1
+                if confirm is not None and not confirm(q, other):
+                    lanes &= lanes - 1
+                    continue
                 a, b = find(q), find(other)
                 found.append((q, other))
                 small, large = (a, b) if sum(map(int.bit_count, members[a].values())) < sum(

@@ -12,10 +12,12 @@
 blocks are the keys; in a hot bucket the other 32 bits are cut into four blocks of 8, of which again two agree. A
 bucket then holds at most 2**16 nodes, whatever the input.
 
-``NEAR`` is for similarities rather than for a few bits: 256 bits over shingles of five words, radius 44, which
-stands for a Jaccard similarity of about 0.8 (0.75 to 0.85, the estimate has an error). Its keys are 20 bands of 12
-bits; a pair at 0.8 shares a band with 95 percent, a closer one more surely. A bucket of over ``BLOCK`` nodes is cut
-into blocks, and every pair of blocks is a group of its own, so all pairs of the bucket still meet.
+``NEAR`` links texts whose sets of five-word shingles have a Jaccard similarity of at least 0.8. Candidates come from
+256-bit fingerprints of the sets: 28 bands of 9 bits are the keys, and the reach is 72 bits. A pair at 0.8 differs in
+about 39 bits (calculated: it shares a band with 99.9 percent, and lies within reach but for less than one in 100,000).
+Candidates only join nodes to families; inside a family, every link is decided by the shingle sets. A bucket of over
+``BLOCK`` nodes and a family of over ``SET_BLOCK`` shingles are cut into blocks, and every pair of blocks is a group of its
+own, so all pairs still meet.
 
 Nulls: a null or blank text has fingerprint zero and is linked like any other; a document without an id takes part,
 but the smallest id is taken of the others (null if there is none). Fewer words than a shingle: the whole sequence
@@ -41,6 +43,9 @@ from namefold.workspace import Workspace
 
 HOT = 4096
 BLOCK = 1 << 15  # nodes of a block of a hot bucket
+SETS = 256  # texts whose shingles are held at once
+SIMILAR = (4, 5)  # Jaccard similarity of near copies, as a fraction
+SET_BLOCK = 1 << 21  # shingles of a block of a large family of candidates
 SEED = 42
 CHUNK = 1 << 14  # shingles counted at once
 # Odd constants that turn one 64-bit hash into further ones. Fixed values.
@@ -53,9 +58,11 @@ Piece = tuple[int, int, int]  # word of the fingerprint, lowest bit, number of b
 class SimHash:
     shingle: int  # words
     words: int  # 64-bit words of a fingerprint
-    radius: int
+    radius: int  # of EXACT, links are within it; of NEAR, it is the mean distance of a pair a little below ``SIMILAR``
+    reach: int  # what is compared is linked, or with ``confirmed`` a candidate, up to this distance
     keys: tuple[tuple[Piece, ...], ...]  # the pieces that make each bucket key
     again: tuple[tuple[tuple[Piece, ...], ...], ...]  # for each key, the keys that deal its hot buckets again, or none
+    confirmed: bool  # candidates are linked if the Jaccard similarity of their shingle sets is at least ``SIMILAR``
 
 
 def _exact() -> SimHash:
@@ -66,12 +73,12 @@ def _exact() -> SimHash:
             keys.append((blocks[i], blocks[j]))
             rest = [(0, 16 * k + 8 * half, 8) for k in range(4) if k not in (i, j) for half in (0, 1)]
             again.append(tuple((rest[a], rest[b]) for a in range(4) for b in range(a + 1, 4)))
-    return SimHash(3, 1, 2, tuple(keys), tuple(again))
+    return SimHash(3, 1, 2, 2, tuple(keys), tuple(again), False)
 
 
 def _near() -> SimHash:
-    bands = [((w, 12 * i, 12),) for w in range(4) for i in range(5)]
-    return SimHash(5, 4, 44, tuple(bands), ())
+    bands = [((w, 9 * i, 9),) for w in range(4) for i in range(7)]
+    return SimHash(5, 4, 44, 72, tuple(bands), (), True)
 
 
 EXACT, NEAR = _exact(), _near()
@@ -97,7 +104,10 @@ def shingle_hashes(text: bytes, k: int) -> np.ndarray:
 
 def fingerprint(text: bytes, k: int, n_words: int) -> list[int]:
     """Unsigned 64-bit words; the first is over the plain hashes, the others over mixed ones."""
-    hashes = shingle_hashes(text, k)
+    return _majorities(shingle_hashes(text, k), n_words)
+
+
+def _majorities(hashes: np.ndarray, n_words: int) -> list[int]:
     out = []
     for w in range(n_words):
         count = np.zeros(64, np.int64)
@@ -112,21 +122,31 @@ def fingerprint(text: bytes, k: int, n_words: int) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, setting: SimHash, *carried: str) -> DataFrame:
-    """``doc_id``, the columns ``carried``, and the fingerprint as ``f0``, ``f1``, ... per row of ``docs``."""
+    """``doc_id``, the columns ``carried``, and the fingerprint as ``f0``, ``f1``, ... per row of ``docs``.
+
+    With ``confirmed``, shingles count once, and a last number tells apart different sets of one fingerprint.
+    """
+
+    def numbers(text: bytes) -> list[int]:
+        if not setting.confirmed:
+            return fingerprint(text, setting.shingle, setting.words)
+        shingles = np.unique(shingle_hashes(text, setting.shingle))
+        return [*_majorities(shingles, setting.words), xxhash.xxh64_intdigest(shingles.tobytes(), SEED)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
-            found = [fingerprint(t.as_py() or b"", setting.shingle, setting.words) for t in texts]
-            table = np.array(found, np.uint64).reshape(-1, setting.words).view(np.int64)
+            found = [numbers(t.as_py() or b"") for t in texts]
+            table = np.array(found, np.uint64).reshape(-1, len(prints)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), *(pa.array(table[:, w]) for w in range(setting.words))], columns
+                [*(batch.column(c) for c in names), *(pa.array(table[:, w]) for w in range(len(prints)))], columns
             )
 
     names = ["doc_id", *carried]
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *carried, "text")
-    columns = [*names, *(f"f{w}" for w in range(setting.words))]
-    kinds = dict(chosen.dtypes) | {f"f{w}": "bigint" for w in range(setting.words)}
+    prints = [f"f{w}" for w in range(setting.words + setting.confirmed)]
+    columns = [*names, *prints]
+    kinds = dict(chosen.dtypes) | {f: "bigint" for f in prints}
     return chosen.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in columns))
 
 
@@ -140,7 +160,7 @@ def _key(number: int, pieces: tuple[Piece, ...]) -> Column:
     return key
 
 
-def _compare(setting: SimHash, keys: list[str]):
+def _compare(setting: SimHash, keys: list[str], by_sets: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
 
@@ -158,11 +178,22 @@ def _compare(setting: SimHash, keys: list[str]):
                 starts = starts[:-1]
             ids = table.column("id").to_numpy()
             words = np.stack([table.column(f"f{w}").to_numpy() for w in range(setting.words)], axis=1).view(np.uint64)
+            sets = table.column("shingles").combine_chunks() if by_sets else None
+
+            def similar(i: int, j: int) -> bool:
+                x, y = (sets[int(k)].values.to_numpy() for k in (i, j))
+                # The sizes alone bound the similarity.
+                if SIMILAR[1] * min(len(x), len(y)) < SIMILAR[0] * max(len(x), len(y)):
+                    return False
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                return SIMILAR[1] * both >= SIMILAR[0] * (len(x) + len(y) - both)
+
             u, v = [], []
             for g in np.flatnonzero(np.diff(starts) > 1).tolist():
                 a, b = int(starts[g]), int(starts[g + 1])
-                members = np.arange(a, b) if setting.again else a + np.flatnonzero(bitslice.paired(words[a:b], setting.radius))
-                for i, j in bitslice.links(words[members], setting.radius) if len(members) else ():
+                members = np.arange(a, b) if setting.again else a + np.flatnonzero(bitslice.paired(words[a:b], setting.reach))
+                confirm = (lambda i, j: similar(members[i], members[j])) if by_sets else None
+                for i, j in bitslice.links(words[members], setting.reach, confirm) if len(members) else ():
                     x, y = int(ids[members[i]]), int(ids[members[j]])
                     u.append(max(x, y))
                     v.append(min(x, y))
@@ -218,19 +249,68 @@ def near_edges(nodes: DataFrame, setting: SimHash, ws: Workspace, hot: int | Non
     return ws.save(edges.distinct(), "links")[0]
 
 
+def _shingle_sets(setting: SimHash, columns: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary())
+            for a in range(0, batch.num_rows, SETS):
+                part = batch.slice(a, SETS)
+                sets = [np.unique(shingle_hashes(t.as_py() or b"", setting.shingle)).view(np.int64) for t in texts.slice(a, SETS)]
+                lists = pa.array(sets, pa.list_(pa.int64()))
+                sizes = pa.array([len(x) for x in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), sizes, lists], [*columns, "size", "shingles"])
+
+    return run
+
+
+def confirmed_edges(
+    docs: DataFrame, nodes: DataFrame, candidates: DataFrame, setting: SimHash, ws: Workspace, size: int | None = None
+) -> DataFrame:
+    """Links between nodes whose shingle sets have at least the similarity ``SIMILAR``.
+
+    ``candidates`` connect the nodes to families outside of which no node has a link. Inside a family, pairs are checked
+    by the sets themselves until they are connected; a family of over ``size`` shingles is cut into blocks.
+    """
+    prints = [f"f{w}" for w in range(setting.words)]
+    linked = connected_components(candidates, ws)
+    family = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
+    members = nodes.join(family.select(F.col("node").alias("id"), F.col("root").alias("key")), "id")
+    members, _ = ws.save(members.select("id", *prints, "key", "sample"), "members")
+    # One row of each text; equal rows are reduced before the exchange.
+    texts = docs.select(F.xxhash64("text").alias("sample"), "text")
+    texts = texts.join(members.select("sample"), "sample", "left_semi").groupBy("sample").agg(F.first("text").alias("text"))
+    texts, _ = ws.save(texts, "texts")
+    columns = ["id", *prints, "key"]
+    kinds = ", ".join(f"{c} bigint" for c in [*columns, "size"])
+    sets = members.join(texts, "sample").select(*columns, "text")
+    sets, _ = ws.save(sets.mapInArrow(_shingle_sets(setting, columns), f"{kinds}, shingles array<bigint>"), "sets")
+    blocks = sets.groupBy("key").agg(F.ceil(F.sum("size") / (size or SET_BLOCK)).alias("blocks")).filter(F.col("blocks") > 1)
+    blocks, _ = ws.save(blocks, "large")
+    part = F.when(F.col("blocks").isNull(), F.array(F.lit(-1).cast("bigint"))).otherwise(_block_pairs(F.col("id"), F.col("blocks")))
+    groups = sets.join(blocks, "key", "left").withColumn("part", F.explode(part)).drop("size", "blocks")
+    groups = groups.repartition("key", "part").sortWithinPartitions("key", "part")
+    edges = groups.mapInArrow(_compare(setting, ["key", "part"], by_sets=True), "u bigint, v bigint")
+    return ws.save(edges.distinct(), "confirmed")[0]
+
+
 def components(docs: DataFrame, setting: SimHash, ws: Workspace, *carried: str) -> DataFrame:
     """``doc_id``, the columns ``carried``, ``f0``, ... and ``component_id`` per row of ``docs``."""
-    prints = [f"f{w}" for w in range(setting.words)]
-    rows, _ = ws.save(fingerprints(docs, setting, *carried), "fingerprints")
-    nodes = rows.groupBy(*prints).agg(F.min("doc_id").alias("first"))
+    prints = [f"f{w}" for w in range(setting.words + setting.confirmed)]
+    own = docs.withColumn("_sim_sample", F.xxhash64("text")) if setting.confirmed else docs
+    rows, _ = ws.save(fingerprints(own, setting, *carried, *["_sim_sample"] * setting.confirmed), "fingerprints")
+    sample = [F.min("_sim_sample").alias("sample")] * setting.confirmed
+    nodes = rows.groupBy(*prints).agg(F.min("doc_id").alias("first"), *sample)
     nodes, _ = ws.save(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
-    linked = connected_components(near_edges(nodes, setting, ws), ws)
+    edges = near_edges(nodes, setting, ws)
+    if setting.confirmed:
+        edges = confirmed_edges(docs, nodes, edges, setting, ws)
+    linked = connected_components(edges, ws)
     rooted = nodes.join(linked.select(F.col("node").alias("id"), "root"), "id", "left")
     rooted, _ = ws.save(rooted.select(*prints, "first", F.coalesce("root", "id").alias("root")), "rooted")
     # Written, so that a large component's nodes can be split: a plain table is on either side of the join.
     lowest, _ = ws.save(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "lowest")
     groups, _ = ws.save(rooted.join(lowest, "root").select(*prints, "component_id", "root"), "groups")
-    return rows.join(groups, prints, "left")
+    return rows.drop("_sim_sample").join(groups, prints, "left")
 
 
 def keep_one(docs: DataFrame, setting: SimHash, ws: Workspace) -> DataFrame:

@@ -407,7 +407,7 @@ def test_near_hot_buckets_lose_nothing(spark, ws):
     nodes = spark.createDataFrame([(i, *r) for i, r in enumerate(table)], "id bigint, f0 bigint, f1 bigint, f2 bigint, f3 bigint")
     every, cut = ({(r.u, r.v) for r in simhash.near_edges(nodes, simhash.NEAR, ws, hot=h).collect()} for h in (10**6, 2))
     distance = lambda i, j: int(np.bitwise_count(values[i] ^ values[j]).sum())
-    brute = [(i, j) for i in range(180) for j in range(i) if distance(i, j) <= simhash.NEAR.radius]
+    brute = [(i, j) for i in range(180) for j in range(i) if distance(i, j) <= simhash.NEAR.reach]
     assert len(brute) > 100
     assert _classes(180, cut) == _classes(180, every) == _classes(180, brute)
 
@@ -453,6 +453,37 @@ def test_near_copies_by_similarity(spark, ws):
     assert sorted(groups[i] for i in kept) == list(range(40))
 
 
+def _jaccard(a: str, b: str) -> float:
+    def shingles(text):
+        w = text.lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("size", [1 << 21, 300])
+def test_near_copies_by_exact_similarity(spark, ws, monkeypatch, size):
+    rng = random.Random(5)
+    monkeypatch.setattr(simhash, "SET_BLOCK", size)
+    texts = []
+    for g in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice((30, 200)))]
+        texts.append(" ".join(words))
+        for _ in range(4):
+            # Copies of a changed beginning, from 0.6 to 0.95.
+            n = round(len(words) * rng.uniform(0.02, 0.24))
+            texts.append(" ".join([f"x{rng.randrange(10**6)}" for _ in range(n)] + words[n:]))
+    # The set of one repeated shingle and of different ends: one fingerprint by counts, no near copies.
+    texts += [" ".join(["same"] * 500 + [f"{k}e{i}" for i in range(60)]) for k in "ab"]
+    root = plain.components(texts, lambda a, b: _jaccard(a, b) >= 0.8)
+    between = [_jaccard(texts[i], texts[5 * (i // 5)]) for i in range(300) if i % 5]
+    assert sum(0.8 <= x < 0.85 for x in between) > 10 and sum(0.7 < x < 0.8 for x in between) > 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = sorted(r.doc_id for r in simhash.keep_one(docs, simhash.NEAR, ws).collect())
+    assert kept == [i for i in range(len(texts)) if root[i] == i]
+
+
 # licenses
 
 
