@@ -162,8 +162,6 @@ def _key(number: int, pieces: tuple[Piece, ...]) -> Column:
 
 def _compare(setting: SimHash, keys: list[str], by_sets: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-
         def links(table: pa.Table, last: bool) -> tuple[list, list, pa.Table | None]:
             """Links of all complete groups; the rows of the last group, unless it is complete."""
             n = table.num_rows
@@ -202,15 +200,22 @@ def _compare(setting: SimHash, keys: list[str], by_sets: bool = False):
         def out(u: list, v: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
+        def same(first: pa.Table, last: pa.Table) -> bool:
+            return all(first.column(k)[0] == last.column(k)[-1] for k in keys)
+
+        waiting: list[pa.Table] = []  # rows of the group that is not complete
         for batch in batches:
             table = pa.Table.from_batches([batch])
             if not table.num_rows:
                 continue
-            table = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
-            u, v, rest = links(table, last=False)
+            waiting.append(table)
+            if same(waiting[0], table):
+                continue
+            u, v, rest = links(pa.concat_tables(waiting).combine_chunks(), last=False)
+            waiting = [rest]
             yield out(u, v)
-        if rest is not None:
-            u, v, _ = links(rest, last=True)
+        if waiting:
+            u, v, _ = links(pa.concat_tables(waiting).combine_chunks(), last=True)
             yield out(u, v)
 
     return run

@@ -412,6 +412,13 @@ def test_near_hot_buckets_lose_nothing(spark, ws):
     assert _classes(180, cut) == _classes(180, every) == _classes(180, brute)
 
 
+def test_near_groups_are_bounded(spark, ws):
+    rows = [(i, 7, i, 3 * i, 5 * i) for i in range(2000)]
+    nodes = spark.createDataFrame(rows, "id bigint, f0 bigint, f1 bigint, f2 bigint, f3 bigint")
+    groups = simhash.placed(nodes, simhash.NEAR, ws, hot=100).groupBy("key", "part").count()
+    assert groups.agg(F.max("count")).first()[0] <= 400
+
+
 @pytest.mark.parametrize("radius,width", [(2, 1), (44, 4), (72, 4)])
 def test_paired(radius, width):
     rng = np.random.default_rng(1)
