@@ -1,9 +1,9 @@
 """License scans by ordered signature rules, with built-in functions only.
 
-Every rule is a regular expression with a label, a priority and a keyword. Two gates come before the expressions: a
-text without any anchor word of a license notice is done, and of the others only the rules run whose keyword the text
-contains. The detections of a text, with their places, are then resolved: a detection is suppressed if one of a higher
-priority overlaps it, or one of the same priority contains it, so that ``CC BY-NC 4.0`` does not also report ``CC BY``.
+Every rule is a regular expression with a label, a priority and a keyword that all its matches hold. Only the rules run
+whose keyword the text contains. The detections of a text, with their places, are then resolved: a detection is
+suppressed if one of a higher priority overlaps it, or one of the same priority contains it, so that ``CC BY-NC 4.0``
+does not also report ``CC BY``.
 
 Rules are composed from the tables below: names of licenses, the ways to write their versions, and the notices that
 mention them, a few hundred expressions in all. They run on a text in lower case with single blanks.
@@ -30,7 +30,7 @@ BASE = (
     ("general public license", "gpl"),
     ("all rights reserved", "reserved"),
 )
-# Every rule's matches hold one of these.
+# Words of license notices. No gate: ``apache 2.0`` holds none of them.
 ANCHORS = (
     "licen copyright domain rights spdx cc0 commons permission redistribution unencumbered proprietary (c)".split()
     + ["under", "subject to", "covered by", "governed by", "cc by", "cc-by", "cc\nby"]
@@ -78,6 +78,14 @@ FAMILIES = (
     ("blueoak", "blue oak", r"blue oak model", ("1.0.0",)),
     ("busl", "business source", r"business source", ("1.1",)),
     ("sspl", "server side public", r"server side public", ("1",)),
+    ("agpl", "agpl", r"(?:gnu )?agpl-?", ("1.0", "3", "3.0")),
+    ("lgpl", "lgpl", r"(?:gnu )?lgpl-?", ("2", "2.0", "2.1", "3", "3.0")),
+    ("gpl", "gpl", r"(?:gnu )?gpl-?", ("1", "2", "2.0", "3", "3.0")),
+    ("gfdl", "fdl", r"(?:gfdl|gnu fdl)-?", ("1.1", "1.2", "1.3")),
+    ("mpl", "mpl", r"mpl-?", ("1.0", "1.1", "2.0")),
+    ("epl", "epl", r"epl-?", ("1.0", "2.0")),
+    ("cddl", "cddl", r"cddl-?", ("1.0", "1.1")),
+    ("eupl", "eupl", r"eupl-?", ("1.1", "1.2")),
 )
 # Notices; the name takes the braces. The second number is the priority, the third whether "license" must follow.
 NOTICES = (
@@ -156,12 +164,12 @@ def rules() -> list[Rule]:
             ]
     for code in CC_CODES:
         long_name = "[ -]".join(CC_NAMES[part] for part in code.split("-"))
-        short = rf"cc[ -]{code.replace('-', '[ -]')}"
+        shorts = [(f"cc{mark}by", rf"cc{mark}{code.replace('-', '[ -]')}") for mark in " -"]
         long_form = rf"creative commons {long_name}"
-        found.append(Rule(f"cc-{code}", "cc", _bounded(short), 2))
+        found += [Rule(f"cc-{code}", keyword, _bounded(short), 2) for keyword, short in shorts]
         found.append(Rule(f"cc-{code}", "creative commons", _bounded(long_form), 2))
         for v in CC_VERSIONS:
-            found.append(Rule(f"cc-{code}-{v}", "cc", _bounded(short + _versioned(v)), 3))
+            found += [Rule(f"cc-{code}-{v}", keyword, _bounded(short + _versioned(v)), 3) for keyword, short in shorts]
             tail = "(?: international| unported| generic)?(?: public)?(?: licen[cs]e)?"
             found.append(Rule(f"cc-{code}-{v}", "creative commons", _bounded(long_form + _versioned(v) + tail), 3))
     for label, codes in SPDX.items():
@@ -281,9 +289,6 @@ def scan(docs: DataFrame) -> DataFrame:
         for word in phrase.split():
             all_words = all_words & F.contains("low", F.lit(word))
         base_gate = base_gate | all_words
-    gate = F.lit(False)
-    for anchor in ANCHORS:
-        gate = gate | F.contains("low", F.lit(anchor))
     none = F.array().cast("array<string>")
     words = F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(PLAIN_WORD), F.lit(0))
     own = own.withColumn("words", F.when(base_gate, words).otherwise(none))
@@ -312,12 +317,12 @@ def scan(docs: DataFrame) -> DataFrame:
             for keyword, own_rules in by_keyword.items()
         )
     )
-    flat = F.regexp_replace("low", r"\s+", " ")
-    own = own.withColumn("flat", F.when(gate, flat))
+    own = own.withColumn("flat", F.regexp_replace("low", r"\s+", " "))
     chosen = F.filter(every, lambda g: F.contains("flat", g["keyword"]))
     chosen = F.flatten(F.transform(chosen, lambda g: g["rules"]))
-    detections = F.flatten(F.transform(chosen, lambda r: _places(F.col("flat"), r)))
-    own = own.withColumn("method", F.when(gate, _resolved(detections)))
+    own = own.withColumn("chosen", chosen)
+    detections = F.flatten(F.transform("chosen", lambda r: _places(F.col("flat"), r)))
+    own = own.withColumn("method", F.when(F.size("chosen") > 0, _resolved(detections)))
     own = own.select("doc_id", "n_words", starts.alias("starts"), labels.alias("base"), "method")
     doubt = F.pow(F.lit(1 - BASE_CERTAINTY), F.size("starts"))
     for priority, certainty in CERTAINTY.items():

@@ -549,3 +549,15 @@ def test_license_rules_against_plain(spark, documents):
     assert ordered(r[:-1] for r in found) == ordered((i, *_labels(t)) for i, t in texts)
     assert all(0 <= r[-1] <= 1 and (r[-1] > 0) == bool(r[-2]) for r in found)
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_license_rules_without_anchor_words(spark):
+    expected = {
+        "apache 2.0": "apache-2.0", "mozilla public 2.0": "mpl-2.0", "General Public v3": "gpl-3", "artistic 2.0": "artistic-2.0",
+        "CC  BY-NC 4.0": "cc-by-nc-4.0", "cc\tby 3.0": "cc-by-3.0", "CC\r\nBY": "cc-by", "subject\nto the MIT license": "mit",
+        "GPLv3": "gpl-3", "LGPL 2.1": "lgpl-2.1", "AGPL-3.0": "agpl-3.0", "MPL 2.0": "mpl-2.0", "success": "", "limit 2.0": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(expected)), "doc_id bigint, text string")
+    found = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan(docs).collect()}
+    for i, (text, label) in enumerate(expected.items()):
+        assert found[i] - {"cc-by"} == {label} - {"cc-by"} or found[i] == {label}, (text, found[i])
