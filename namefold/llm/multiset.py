@@ -49,7 +49,7 @@ def empty() -> Vector:
 def _shape(padded: bytes) -> np.ndarray:
     """Sketch of paragraphs that each follow ``WINDOW`` zero bytes; windows that end in a zero do not count."""
     total = np.zeros(SHAPES, np.int64)
-    for start in range(0, max(len(padded) - WINDOW, 0), PIECE):
+    for start in range(0, max(len(padded) - WINDOW + 1, 0), PIECE):
         part = padded[start : start + PIECE + WINDOW - 1]
         count = len(part) - WINDOW + 1
         if count <= 0:

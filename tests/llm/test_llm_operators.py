@@ -561,3 +561,15 @@ def test_license_rules_without_anchor_words(spark):
     found = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan(docs).collect()}
     for i, (text, label) in enumerate(expected.items()):
         assert found[i] - {"cc-by"} == {label} - {"cc-by"} or found[i] == {label}, (text, found[i])
+
+
+def test_multiset_last_window_of_a_piece():
+    step = multiset.PIECE
+    text = "".join(random.Random(4).choices("abcdefgh", k=step))
+    whole = multiset.fingerprint(text)
+    inserted = multiset.insert(multiset.empty(), text)
+    windows = [(bytes(multiset.WINDOW) + text.encode())[i : i + multiset.WINDOW] for i in range(step, step + 1)]
+    shape = multiset._shape(bytes(multiset.WINDOW) + text.encode())
+    shorter = multiset._shape(bytes(multiset.WINDOW) + text.encode()[:-1])
+    assert (whole[1] == inserted[1]).all()
+    assert (shape - shorter == multiset._shape(windows[0])).all() and (shape != shorter).any()
