@@ -24,12 +24,15 @@ def toxic_gone(docs, model):
 
 
 def near_gone(docs):
-    """All pairs of fingerprints are compared."""
-    prints = []
-    for _, text, _ in docs:
-        words = simhash.fingerprint((text or "").encode(), simhash.NEAR.shingle, simhash.NEAR.words)
-        prints.append(sum(w << (64 * i) for i, w in enumerate(words)))
-    root = plain.components(prints, lambda a, b: (a ^ b).bit_count() <= simhash.NEAR.radius)
+    """All pairs of texts are compared by the Jaccard similarity of their sets of five-word shingles."""
+    sets = [set(simhash.shingle_hashes((text or "").encode(), simhash.NEAR.shingle).tolist()) for _, text, _ in docs]
+    num, den = simhash.SIMILAR
+
+    def similar(x, y):
+        both = len(x & y)
+        return den * both >= num * (len(x) + len(y) - both)
+
+    root = plain.components(sets, similar)
     return [d for i, d in enumerate(docs) if root[i] == i]
 
 
