@@ -6,6 +6,7 @@ import string
 
 from namefold.llm.decontam import SPAN
 from namefold.llm.urls import RULES, SOFT, STRICT, UrlFilter
+from namefold.llm.divergence import ALPHA, MIN_DOCS, SCALE, TERM, TOP
 from namefold.llm.words import PLAIN_WORD
 
 _LOWER = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
@@ -70,4 +71,55 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(
 from doc left join hit using (doc_id) left join named using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op7_winnowing": HITS, "op8_url_filter": URLS}
+_D = f"""
+with d as (
+  select coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text, row_number() over () as rid
+  from documents
+), t as (
+  select lang, source, rid, unnest(regexp_extract_all(translate(text, {_LOWER}), '{TERM.pattern}')) as term from d
+), groups as (
+  select distinct lang, source from d
+), cnt as (
+  select lang, source, term, count(*) as n, count(distinct rid) as docs from t group by lang, source, term
+), kept as (
+  select lang, term from cnt group by lang, term having sum(docs) >= {MIN_DOCS}
+), v as (
+  select lang, count(*) as v from kept group by lang
+), gc as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n
+  from groups g join kept k on g.lang = k.lang
+  left join cnt c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), gt as (
+  select lang, source, sum(n) as total from gc group by lang, source
+), gp as (
+  select gc.lang, gc.source, gc.term, gc.n, 1 + ({SCALE}::hugeint * (gc.n + {ALPHA})) // (gt.total + {ALPHA} * v.v) as p
+  from gc join gt on gc.lang = gt.lang and gc.source = gt.source join v on gc.lang = v.lang
+), lc as (
+  select lang, term, sum(n) as n from gc group by lang, term
+), lt as (
+  select lang, sum(n) as total from lc group by lang
+), lp as (
+  select lc.lang, lc.term, 1 + ({SCALE}::hugeint * (lc.n + {ALPHA})) // (lt.total + {ALPHA} * v.v) as q
+  from lc join lt on lc.lang = lt.lang join v on lc.lang = v.lang
+), pair as (
+  select g1.lang, g1.source, g2.source as item, coalesce(sum(abs(a.p - b.p)), 0) as value
+  from groups g1 join groups g2 on g1.lang = g2.lang and g1.source <> g2.source
+  left join gp a on a.lang = g1.lang and a.source = g1.source
+  left join gp b on b.lang = g2.lang and b.source = g2.source and b.term = a.term
+  group by g1.lang, g1.source, g2.source
+), term as (
+  select gp.lang, gp.source, gp.term as item, gp.p - lp.q as value
+  from gp join lp on gp.lang = lp.lang and gp.term = lp.term where gp.n > 0 and gp.p > lp.q
+), ranked as (
+  select lang, source, 'pair' as part, item, value,
+    row_number() over (partition by lang, source order by value desc, encode(item)) as rank from pair
+  union all
+  select * from (
+    select lang, source, 'term' as part, item, value,
+      row_number() over (partition by lang, source order by value desc, encode(item)) as rank from term
+  ) where rank <= {TOP}
+)
+select lang, source, part, item, value::bigint as value, rank::int as rank from ranked
+"""
+
+ORACLES: dict[str, str] = {"op7_winnowing": HITS, "op8_url_filter": URLS, "op11_source_divergence": _D}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namefold.llm import decontam, licenses, mixing, multiset, quality, secret_forest, simhash, token_orc, toxicity, urls
+from namefold.llm import decontam, divergence, licenses, mixing, multiset, quality, secret_forest, simhash, token_orc, toxicity, urls
 from namefold.llm.oracles import ORACLES  # noqa: F401
 from namefold.workspace import Workspace
 
@@ -71,6 +71,10 @@ def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,5 +92,6 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
     "op10_license_rules": op10_license_rules,
+    "op11_source_divergence": op11_source_divergence,
     "pipeline": pipeline,
 }
