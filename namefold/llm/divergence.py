@@ -32,65 +32,72 @@ rows; other columns of the input are never read, so their names cannot clash.
 from __future__ import annotations
 
 import re
-import string
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from namefold.llm.words import lower_ascii
 from namefold.workspace import Workspace
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_UPPER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 MIN_DOCS = 30
 SCALE = 1_000_000_000
 ALPHA = 5
 TOP = 50
-BLOCK_TERMS = 1 << 18  # keys of one in-memory block before it is spilled as a run
+BLOCK_TERMS = 1 << 20  # keys of one in-memory block before it is spilled as a run
 RANK_SHARDS = 64  # first-step shards of a group's term ranking
 BROADCAST_BYTES = 32 << 20  # measured size of the per-lang source lists up to which they are broadcast
 _RUN = "lang string, source string, term string, n bigint, docs bigint"
 
 
-def _spill(block: dict) -> pa.RecordBatch:
-    keys = sorted(block, key=lambda k: (k[0], k[2], k[1]))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([k[0] for k in keys], pa.string()),
-            pa.array([k[1] for k in keys], pa.string()),
-            pa.array([k[2] for k in keys], pa.string()),
-            pa.array([block[k][0] for k in keys], pa.int64()),
-            pa.array([block[k][1] for k in keys], pa.int64()),
-        ],
-        ["lang", "source", "term", "n", "docs"],
-    )
+def _combined(tables: list[pa.Table]) -> pa.Table:
+    summed = pa.concat_tables(tables).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+    return summed.rename_columns(["lang", "source", "term", "n", "docs"])
+
+
+def _postings(batch: pa.RecordBatch) -> pa.Table:
+    """(lang, source, term, n, docs) of one batch of documents, plus one empty term per group as its marker."""
+    terms = batch.column("terms")
+    doc = pc.list_parent_indices(terms)
+    per_doc = pa.table({"doc": doc, "term": pc.list_flatten(terms)}).group_by(["doc", "term"]).aggregate([("term", "count")])
+    rows = pa.table({
+        "lang": pc.take(batch.column("lang"), per_doc.column("doc")),
+        "source": pc.take(batch.column("source"), per_doc.column("doc")),
+        "term": per_doc.column("term"),
+        "n": per_doc.column("term_count").cast(pa.int64()),
+        "docs": pa.array(np.ones(per_doc.num_rows, np.int64)),
+    })
+    marks = pa.table({"lang": batch.column("lang"), "source": batch.column("source")}).group_by(["lang", "source"]).aggregate([])
+    empty = pa.table({
+        "lang": marks.column("lang"), "source": marks.column("source"),
+        "term": pa.array([""] * marks.num_rows, pa.string()),
+        "n": pa.array(np.zeros(marks.num_rows, np.int64)), "docs": pa.array(np.zeros(marks.num_rows, np.int64)),
+    })
+    return _combined([rows, empty])
 
 
 def _index(block_terms: int):
-    """Block postings of a task's documents, spilled as term-sorted runs."""
+    """Block postings of a task's documents, spilled as term-sorted runs when a block holds ``block_terms`` keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: dict = {}
+        block, keys = [], 0
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("lang", "source", "text")]
-            for lang, source, text in zip(*columns):
-                for term, n in Counter(TERM.findall(text.translate(_UPPER))).items():
-                    entry = block.get((lang, source, term))
-                    if entry is None:
-                        block[(lang, source, term)] = [n, 1]
-                    else:
-                        entry[0] += n
-                        entry[1] += 1
-                # An empty term marks the group, so groups without any term are known too.
-                block.setdefault((lang, source, ""), [0, 0])
-                if len(block) >= block_terms:
-                    yield _spill(block)
-                    block = {}
+            block.append(_postings(batch))
+            keys += block[-1].num_rows
+            if keys >= block_terms:
+                merged = _combined(block)
+                if merged.num_rows >= block_terms // 2:
+                    yield from merged.sort_by([("lang", "ascending"), ("term", "ascending"), ("source", "ascending")]).to_batches()
+                    block, keys = [], 0
+                else:
+                    block, keys = [merged], merged.num_rows
         if block:
-            yield _spill(block)
+            merged = _combined(block)
+            yield from merged.sort_by([("lang", "ascending"), ("term", "ascending"), ("source", "ascending")]).to_batches()
 
     return run
 
@@ -119,7 +126,10 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequencies(docs: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents of every term of every group, by index and merge."""
-    read = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
+    read = docs.select(
+        *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")),
+        F.regexp_extract_all(F.coalesce(lower_ascii(F.col("text")), F.lit("")), F.lit(TERM.pattern), F.lit(0)).alias("terms"),
+    )
     runs = read.mapInArrow(_index(block_terms), _RUN)
     shards = runs.repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
     return shards.mapInArrow(_merge, _RUN)
@@ -158,17 +168,22 @@ def audit(
     lists = groups.groupBy("lang").agg(F.collect_list(F.struct("source", "p0")).alias("sources"))
     per_term = valued.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "p")).alias("here"))
     per_term = per_term.join(small(lists), "lang")
-    corrections = per_term.select(
+    # Every source of the lang with its value of the term, built once per term (and read twice, so never inlined).
+    aligned = per_term.withColumn("hm", F.map_from_entries("here")).select(
+        "lang",
+        F.expr(
+            """transform(sources, y -> named_struct('source', y.source, 'p0', y.p0,
+                 'q', coalesce(hm[y.source], y.p0), 'present', hm[y.source] is not null))"""
+        ).alias("all"),
+    )
+    corrections = aligned.select(
         "lang",
         F.explode(
             F.expr(
-                """flatten(transform(here, x -> transform(
-                     filter(sources, y -> y.source != x.source
-                       and (map_from_entries(here)[y.source] is null or y.source > x.source)),
-                     y -> named_struct(
-                       'a', least(x.source, y.source), 'b', greatest(x.source, y.source),
-                       'c', abs(x.p - coalesce(map_from_entries(here)[y.source], y.p0))
-                            - abs(map_from_entries(sources)[x.source] - y.p0)))))"""
+                """flatten(transform(filter(all, x -> x.present), x -> transform(
+                     filter(all, y -> y.source != x.source and (not y.present or y.source > x.source)),
+                     y -> named_struct('a', least(x.source, y.source), 'b', greatest(x.source, y.source),
+                                       'c', abs(x.q - y.q) - abs(x.p0 - y.p0)))))"""
             )
         ).alias("k"),
     ).groupBy("lang", F.col("k.a").alias("a"), F.col("k.b").alias("b")).agg(F.sum("k.c").alias("c"))
