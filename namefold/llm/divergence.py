@@ -40,10 +40,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from namefold.llm.words import lower_ascii
 from namefold.workspace import Workspace
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+_GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"  # what stands between terms
 MIN_DOCS = 30
 SCALE = 1_000_000_000
 ALPHA = 5
@@ -61,9 +61,11 @@ def _combined(tables: list[pa.Table]) -> pa.Table:
 
 def _postings(batch: pa.RecordBatch) -> pa.Table:
     """(lang, source, term, n, docs) of one batch of documents, plus one empty term per group as its marker."""
-    terms = batch.column("terms")
-    doc = pc.list_parent_indices(terms)
-    per_doc = pa.table({"doc": doc, "term": pc.list_flatten(terms)}).group_by(["doc", "term"]).aggregate([("term", "count")])
+    text = pc.ascii_lower(pc.fill_null(batch.column("text"), ""))
+    pieces = pc.split_pattern_regex(text, pattern=_GAP)
+    words, doc = pc.list_flatten(pieces), pc.list_parent_indices(pieces)
+    nonempty = pc.greater(pc.binary_length(words), 0)
+    per_doc = pa.table({"doc": doc.filter(nonempty), "term": words.filter(nonempty)}).group_by(["doc", "term"]).aggregate([("term", "count")])
     rows = pa.table({
         "lang": pc.take(batch.column("lang"), per_doc.column("doc")),
         "source": pc.take(batch.column("source"), per_doc.column("doc")),
@@ -128,7 +130,7 @@ def frequencies(docs: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents of every term of every group, by index and merge."""
     read = docs.select(
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")),
-        F.regexp_extract_all(F.coalesce(lower_ascii(F.col("text")), F.lit("")), F.lit(TERM.pattern), F.lit(0)).alias("terms"),
+        F.col("text").cast("string").alias("text"),
     )
     runs = read.mapInArrow(_index(block_terms), _RUN)
     shards = runs.repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
