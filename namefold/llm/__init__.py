@@ -2,8 +2,8 @@
 
 from pyspark import cloudpickle
 
-from namefold.llm import bitslice, divergence, multiset, quality, simhash, token_orc, toxicity, urls, words
+from namefold.llm import alignment, bitslice, divergence, multiset, quality, simhash, substring, token_orc, toxicity, urls, words
 
 # Sent to the workers with each job, so executors need no copy of this package.
-for _module in (bitslice, divergence, multiset, quality, simhash, token_orc, toxicity, urls, words):
+for _module in (alignment, bitslice, divergence, multiset, quality, simhash, substring, token_orc, toxicity, urls, words):
     cloudpickle.register_pickle_by_value(_module)

@@ -7,7 +7,8 @@ import string
 from namefold.llm.decontam import SPAN
 from namefold.llm.urls import RULES, SOFT, STRICT, UrlFilter
 from namefold.llm.divergence import ALPHA, MIN_DOCS, SCALE, TERM, TOP
-from namefold.llm.words import PLAIN_WORD
+from namefold.llm.substring import WINDOW
+from namefold.llm.words import PLAIN_WORD, SPACED_WORD
 
 _LOWER = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
 
@@ -122,4 +123,27 @@ with d as (
 select lang, source, part, item, value::bigint as value, rank::int as rank from ranked
 """
 
-ORACLES: dict[str, str] = {"op7_winnowing": HITS, "op8_url_filter": URLS, "op11_source_divergence": _D}
+_S = f"""
+with d as (
+  select row_number() over () as rid, doc_id, coalesce(regexp_extract_all(text, '{SPACED_WORD}'), []) as w from documents
+), win as (
+  select rid, doc_id, s, md5(array_to_string(w[s:s + {WINDOW - 1}], ' ')) as k
+  from (select rid, doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) as s from d where len(w) >= {WINDOW} and doc_id is not null)
+), firsts as (
+  select k, min(doc_id) as m from win group by k
+), covered as (
+  select distinct rid, p from (
+    select rid, unnest(range(s, s + {WINDOW})) as p from win join firsts using (k) where win.doc_id > firsts.m
+  )
+), words as (
+  select rid, unnest(w) as x, unnest(range(1, len(w) + 1)) as p from d
+), kept as (
+  select rid, string_agg(x, ' ' order by p) as t from words anti join covered using (rid, p) group by rid
+), removed as (
+  select rid, count(*) as n from covered group by rid
+)
+select doc_id, len(w)::bigint as n_words, coalesce(removed.n, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (rid) left join removed using (rid)
+"""
+
+ORACLES: dict[str, str] = {"op7_winnowing": HITS, "op8_url_filter": URLS, "op11_source_divergence": _D, "op12_substring_dedup": _S}

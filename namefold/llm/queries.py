@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from namefold.llm import decontam, divergence, licenses, mixing, multiset, quality, secret_forest, simhash, token_orc, toxicity, urls
+from namefold.llm import (
+    alignment, decontam, divergence, licenses, mixing, multiset, quality, secret_forest, simhash, substring, token_orc, toxicity, urls,
+)
 from namefold.llm.oracles import ORACLES  # noqa: F401
 from namefold.workspace import Workspace
 
@@ -75,6 +77,14 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), Workspace(spark))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), Workspace(spark))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,5 +103,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": op9_simhash,
     "op10_license_rules": op10_license_rules,
     "op11_source_divergence": op11_source_divergence,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": pipeline,
 }

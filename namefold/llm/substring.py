@@ -88,7 +88,8 @@ def removed_starts(docs: DataFrame, ws: Workspace, window: int = WINDOW, base: i
     """(rid, pos): starts of windows of ``window`` words that stand in a document of smaller doc_id."""
     lengths = [x for x in chain(window) if x >= min(base, window)]
     long_enough = docs.filter(F.col("doc_id").isNotNull() & (F.col("n") >= window))
-    first = _local_hashes(long_enough, lengths[0]).select("rid", "doc_id", "n", F.posexplode("h").alias("pos", "h"))
+    # An outer explode: Spark infers no size filter for it, which would copy the hash arrays' expressions into a filter.
+    first = _local_hashes(long_enough, lengths[0]).select("rid", "doc_id", "n", F.posexplode_outer("h").alias("pos", "h"))
     level = first.select("rid", "doc_id", "n", "pos", F.col("h.a").alias("a"), F.col("h.b").alias("b"))
     for step, length in enumerate(lengths):
         last = length == lengths[-1]

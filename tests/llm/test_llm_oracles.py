@@ -13,7 +13,7 @@ from namefold.llm.queries import ORACLES, QUERIES
 def test_registered():
     assert QUERIES.keys() <= contract.queries().keys() and ORACLES.keys() <= QUERIES.keys()
     numbers = [int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")]
-    assert sorted(numbers) == list(range(1, 12)) and "pipeline" in QUERIES
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("key", list(ORACLES))
