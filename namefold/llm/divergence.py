@@ -48,7 +48,8 @@ MIN_DOCS = 30
 SCALE = 1_000_000_000
 ALPHA = 5
 TOP = 50
-BLOCK_TERMS = 1 << 20  # keys of one in-memory block before it is spilled as a run
+BLOCK_TERMS = 1 << 18  # keys of one in-memory block before it is spilled as a run
+SLICE_BYTES = 4 << 20  # text split and grouped at once
 RANK_SHARDS = 64  # first-step shards of a group's term ranking
 BROADCAST_BYTES = 32 << 20  # measured size of the per-lang source lists up to which they are broadcast
 _RUN = "lang string, source string, term string, n bigint, docs bigint"
@@ -82,21 +83,33 @@ def _postings(batch: pa.RecordBatch) -> pa.Table:
     return _combined([rows, empty])
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``SLICE_BYTES`` of text (a longer text is a part of its own)."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        base = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, base + SLICE_BYTES, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def _index(block_terms: int):
     """Block postings of a task's documents, spilled as term-sorted runs when a block holds ``block_terms`` keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, keys = [], 0
         for batch in batches:
-            block.append(_postings(batch))
-            keys += block[-1].num_rows
-            if keys >= block_terms:
-                merged = _combined(block)
-                if merged.num_rows >= block_terms // 2:
-                    yield from merged.sort_by([("lang", "ascending"), ("term", "ascending"), ("source", "ascending")]).to_batches()
-                    block, keys = [], 0
-                else:
-                    block, keys = [merged], merged.num_rows
+            for part in _slices(batch):
+                block.append(_postings(part))
+                keys += block[-1].num_rows
+                if keys >= block_terms:
+                    merged = _combined(block)
+                    if merged.num_rows >= block_terms // 2:
+                        yield from merged.sort_by([("lang", "ascending"), ("term", "ascending"), ("source", "ascending")]).to_batches()
+                        block, keys = [], 0
+                    else:
+                        block, keys = [merged], merged.num_rows
         if block:
             merged = _combined(block)
             yield from merged.sort_by([("lang", "ascending"), ("term", "ascending"), ("source", "ascending")]).to_batches()
