@@ -24,9 +24,7 @@ documents; very long texts are one row of work; an empty table gives no rows; on
 
 from __future__ import annotations
 
-import bisect
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,7 +39,7 @@ A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
 HOT_KEYS = 1 << 16
 HOT_MIN = 1 << 10
-BATCH = 256  # texts encoded at once
+BATCH = 64  # texts encoded at once
 _ALIGNED = (
     "rid bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
     "pa array<int>, pb array<int>, pk array<int>"
@@ -73,6 +71,9 @@ class Aligner:
     """Both tokenizers and the bytes of every id of each."""
 
     def __init__(self, a_path: str, b_path: str):
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one thread a task; Spark runs the tasks in parallel
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -96,13 +97,15 @@ class Aligner:
                 self.b_bytes.append(piece.encode())  # never equal to the text's bytes: the row is not aligned
             else:
                 self.b_bytes.append(piece.replace("▁", " ").encode())
+        self.a_sizes = np.array([len(b) for b in self.a_bytes], np.int64)
+        self.b_sizes = np.array([len(b) for b in self.b_bytes], np.int64)
 
-    def ends(self, ids: list[int], table: list[bytes], target: bytes) -> np.ndarray | None:
+    def ends(self, ids: np.ndarray, table: list[bytes], sizes: np.ndarray, target: bytes) -> np.ndarray | None:
         """End offsets of the tokens, or None if their bytes do not join to ``target``."""
-        parts = [table[i] for i in ids]
-        if b"".join(parts) != target or not all(parts):
+        lengths = sizes[ids]
+        if not len(ids) or lengths.min() == 0 or b"".join(map(table.__getitem__, ids.tolist())) != target:
             return None
-        return np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        return np.cumsum(lengths)
 
     def align(self, texts: list[str | None]) -> list[tuple]:
         """Per text: n_a, n_b, groups (A ids, B ids per group) and links as (A id, B id) occurrences; None if unaligned."""
@@ -114,11 +117,13 @@ class Aligner:
         b_ids = self.b.encode([texts[k] for k in todo])
         for k, ia, ib in zip(todo, a_ids, b_ids):
             target = (" " + texts[k]).encode()
-            ea, eb = self.ends(ia, self.a_bytes, target), self.ends(ib, self.b_bytes, target)
+            ia, ib = np.array(ia, np.int64), np.array(ib, np.int64)
+            ea = self.ends(ia, self.a_bytes, self.a_sizes, target)
+            eb = self.ends(ib, self.b_bytes, self.b_sizes, target) if ea is not None else None
             if ea is None or eb is None:
                 continue
-            found = groups(ea.tolist(), eb.tolist())
-            out[k] = (len(ia), len(ib), [(ia[i0:i1], ib[j0:j1]) for i0, i1, j0, j1 in found], list(links(ia, ib, ea, eb, found)))
+            cuts = shared_cuts(ea, eb)
+            out[k] = (ia, ib, ea, eb, cuts)
         return out
 
 
@@ -127,45 +132,67 @@ def aligner(a_path: str, b_path: str) -> Aligner:
     return Aligner(a_path, b_path)
 
 
-def _cut(ea: list[int], eb: list[int], lo: int, hi: int, jlo: int, jhi: int) -> tuple[int, int] | None:
-    """An A end among ea[lo:hi] that B also has among eb[jlo:jhi], the one nearest the middle; by bisection."""
-    mid = (lo + hi) // 2
-    for step in range(2 * (hi - lo) + 1):
-        i = mid + (step + 1) // 2 if step % 2 else mid - step // 2
-        if lo <= i < hi:
-            j = bisect.bisect_left(eb, ea[i], jlo, jhi)
-            if j < jhi and eb[j] == ea[i]:
-                return i, j
-    return None
-
-
-def groups(ea: list[int], eb: list[int]) -> list[tuple[int, int, int, int]]:
-    """Token index ranges (i0, i1, j0, j1) of the leaf groups, in byte order. Both end lists finish at the same offset."""
-    out, stack = [], [(0, len(ea), 0, len(eb))]
-    while stack:
-        i0, i1, j0, j1 = stack.pop()
-        cut = _cut(ea, eb, i0, i1 - 1, j0, j1 - 1)  # inner ends only: the interval's last end is its border
-        if cut is None:
-            out.append((i0, i1, j0, j1))
-            continue
-        i, j = cut
-        stack.append((i + 1, i1, j + 1, j1))
-        stack.append((i0, i + 1, j0, j + 1))
-    return out
-
-
-def links(ia, ib, ea, eb, found) -> Iterator[tuple[int, int]]:
-    """(A id, B id) of every pair of tokens whose byte ranges overlap, group by group."""
-    for i0, i1, j0, j1 in found:
-        i, j = i0, j0
-        while i < i1 and j < j1:
-            yield ia[i], ib[j]
-            if ea[i] < eb[j]:
-                i += 1
-            elif eb[j] < ea[i]:
-                j += 1
-            else:
-                i, j = i + 1, j + 1
+def shared_cuts(ea: np.ndarray, eb: np.ndarray) -> np.ndarray:
+    """Offsets where an A token and a B token both end, found by divide and conquer.
+
+    Every A end is located among B's ends by bisection (``searchsorted``). Each round then takes all open intervals of
+    A ends at once and splits each at its shared end nearest the middle (bisection again, in the sorted shared ends);
+    an interval without one is a leaf group. Both lists end at the same offset, which is the last cut."""
+    j = np.minimum(np.searchsorted(eb, ea), len(eb) - 1)
+    inner = np.flatnonzero(eb[j] == ea)
+    inner = inner[inner < len(ea) - 1]
+    cut = np.zeros(len(ea), bool)
+    cut[-1] = True
+    lo, hi = np.array([0]), np.array([len(ea) - 1])  # open intervals [lo, hi) of inner A ends
+    while len(lo) and len(inner):
+        mid = (lo + hi) // 2
+        k = np.searchsorted(inner, mid)
+        right = inner[np.minimum(k, len(inner) - 1)]
+        left = inner[np.maximum(k - 1, 0)]
+        has_right = (k < len(inner)) & (right < hi) & (right >= lo)
+        has_left = (k > 0) & (left >= lo) & (left < hi)
+        pick = np.where(has_left & (~has_right | (mid - left <= right - mid)), left, right)
+        split = has_left | has_right
+        cut[pick[split]] = True
+        lo, hi, pick = lo[split], hi[split], pick[split]
+        lo, hi = np.concatenate([lo, pick + 1]), np.concatenate([pick, hi])
+        keep = lo < hi
+        lo, hi = lo[keep], hi[keep]
+    return ea[cut]
+
+
+def groups(ea, eb) -> list[tuple[int, int, int, int]]:
+    """Token index ranges (i0, i1, j0, j1) of the leaf groups, in byte order."""
+    ea, eb = np.asarray(ea), np.asarray(eb)
+    cuts = shared_cuts(ea, eb)
+    i1 = np.searchsorted(ea, cuts) + 1
+    j1 = np.searchsorted(eb, cuts) + 1
+    i0, j0 = np.concatenate([[0], i1[:-1]]), np.concatenate([[0], j1[:-1]])
+    return list(zip(i0.tolist(), i1.tolist(), j0.tolist(), j1.tolist()))
+
+
+def links(ia: np.ndarray, ib: np.ndarray, ea: np.ndarray, eb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(A ids, B ids) of every pair of tokens whose byte ranges overlap.
+
+    Tokens of a group tile the same bytes, so each piece between two consecutive ends of either side lies in exactly
+    one A and one B token, and consecutive pieces differ in at least one: one link a piece."""
+    ends = np.union1d(ea, eb)
+    return ia[np.searchsorted(ea, ends)], ib[np.searchsorted(eb, ends)]
+
+
+def groups_string(ia: np.ndarray, ib: np.ndarray, ea: np.ndarray, eb: np.ndarray, cuts: np.ndarray) -> str:
+    """``a1,a2|b1;a3|b2,b3``: per group its A ids, then its B ids, groups in order."""
+    ga, gb = np.searchsorted(cuts, ea), np.searchsorted(cuts, eb)
+    group = np.concatenate([ga, gb])
+    side = np.concatenate([np.zeros(len(ga), np.int8), np.ones(len(gb), np.int8)])
+    ids = np.concatenate([ia, ib])
+    order = np.lexsort((np.arange(len(ids)), side, group))
+    group, side, ids = group[order], side[order], ids[order]
+    seps = np.where(group[1:] != group[:-1], ";", np.where(side[1:] != side[:-1], "|", ","))
+    pieces = np.empty(2 * len(ids) - 1, object)
+    pieces[0::2] = ids.astype(str)
+    pieces[1::2] = seps
+    return "".join(pieces.tolist())
 
 
 def groups_text(found: list[tuple[list[int], list[int]]]) -> str:
@@ -185,11 +212,12 @@ def _aligned(a_path: str, b_path: str):
                         for k, v in zip(cols, (0, 0, 0, 0, "", [], [], [])):
                             cols[k].append(v)
                         continue
-                    n_a, n_b, grouped, linked = f
-                    pairs = Counter(linked)
-                    for k, v in zip(cols, (n_a, n_b, len(grouped), len(linked),
-                                           hashlib.sha256(groups_text(grouped).encode()).hexdigest(),
-                                           [p[0] for p in pairs], [p[1] for p in pairs], list(pairs.values()))):
+                    ia, ib, ea, eb, cuts = f
+                    la, lb = links(ia, ib, ea, eb)
+                    pairs, times = np.unique((la << 32) | lb, return_counts=True)
+                    text = groups_string(ia, ib, ea, eb, cuts)
+                    for k, v in zip(cols, (len(ia), len(ib), len(cuts), len(la), hashlib.sha256(text.encode()).hexdigest(),
+                                           (pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist(), times.tolist())):
                         cols[k].append(v)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("rid"), part.column("doc_id"),

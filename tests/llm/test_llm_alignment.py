@@ -51,7 +51,7 @@ def plain_rows(work, rows):
             out.append((doc_id, 0, 0, 0, 0, 0, 0, ""))
             continue
         n_a, n_b, found, linked = r
-        text = alignment.groups_text(found)
+        text = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in found)
         out.append((doc_id, n_a, n_b, len(found), len(linked), sum(counts[p] == top[p[0]] for p in linked),
                     sum(counts[p] for p in linked), hashlib.sha256(text.encode()).hexdigest()))
     return sorted(out, key=repr)
