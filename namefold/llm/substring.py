@@ -70,11 +70,14 @@ def _local_hashes(docs: DataFrame, upto: int) -> DataFrame:
 
 
 def _attach(positions: DataFrame, keys: list[str], ws: Workspace, name: str) -> DataFrame:
-    """Each position with the smallest and largest doc_id of its hash; hot hashes by broadcast, the rest by exchange."""
+    """Positions whose hash stands in two documents, with the smallest and largest doc_id of the hash.
+
+    Hot hashes are joined by broadcast, the rest by exchange."""
     groups = positions.groupBy(*keys).agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("times")
     )
-    groups, seen = ws.save(groups, name, total=F.sum("times"))
+    # Only hashes in two documents matter at any level: a removed window's hash has a smaller doc_id than its own.
+    groups, seen = ws.save(groups.filter(F.col("first") < F.col("last")), name, total=F.sum("times"))
     hot_at = max(HOT_MIN, (seen["total"] or 0) // HOT_KEYS)
     hot = groups.filter(F.col("times") > hot_at).drop("times")  # at most total / hot_at <= HOT_KEYS rows
     cold = groups.filter(F.col("times") <= hot_at).drop("times")
@@ -98,7 +101,7 @@ def removed_starts(docs: DataFrame, ws: Workspace, window: int = WINDOW, base: i
         if last:
             return met.filter(F.col("doc_id") > F.col("first")).select("rid", "pos")
         repeated, seen = ws.save(
-            met.filter(F.col("first") < F.col("last")).select("rid", "doc_id", "n", "pos", "a", "b"),
+            met.select("rid", "doc_id", "n", "pos", "a", "b"),
             f"repeated{length}",
             rows=F.count(F.lit(1)),
         )
