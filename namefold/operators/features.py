@@ -146,7 +146,11 @@ def vectors(weights: DataFrame, threshold: float) -> DataFrame:
     packed = weights.groupBy("gid", "size").agg(
         F.sort_array(F.collect_list(F.struct("gram_id", "w", "tail"))).alias("terms")
     )
-    prefix = "transform(filter(terms, t -> t.tail > {limit}), t -> struct(t.gram_id as gram_id, t.tail as tail))"
+    # ``rest`` is the norm of the part after the gram, so a pair first sharing it has at most ``w w' + rest rest'``.
+    prefix = (
+        "transform(filter(terms, t -> t.tail > {limit}), t -> struct(t.gram_id as gram_id, t.tail as tail, "
+        "t.w as w, sqrt(greatest(t.tail * t.tail - t.w * t.w, 0D)) as rest))"
+    )
     lists = packed.select(
         "gid",
         "size",
@@ -158,5 +162,5 @@ def vectors(weights: DataFrame, threshold: float) -> DataFrame:
         pack_vectors,
         "gid bigint, size bigint, terms binary, unit double, "
         + "".join(f"s{i} bigint, " for i in range(PLANES * WORDS))
-        + "prefix array<struct<gram_id: bigint, tail: double>>",
+        + "prefix array<struct<gram_id: bigint, tail: double, w: double, rest: double>>",
     )

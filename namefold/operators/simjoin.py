@@ -7,6 +7,12 @@ meets in a gram where that product exceeds ``t``; then one of the two tails exce
 with such a tail are "early"; the join is early entries against all prefix entries. Frequent grams sit at
 the end of the order and rarely get into a prefix at all. Every candidate is verified by its dot product,
 so the result has all pairs above the threshold and nothing else.
+
+Residual bound at the first shared gram: there the cosine is ``w_a(g) w_b(g)`` plus what the parts after ``g``
+share, at most ``rest_a(g) rest_b(g)``, the product of their norms. A meeting is kept only if this sum exceeds ``t``.
+At a later shared gram the sum is no bound (earlier grams are not counted), but a pair above ``t`` always passes at
+its first shared gram, which is a meeting, and pairs are taken distinct; so the test drops no pair above ``t``.
+The sum never exceeds ``tail_a tail_b`` (Cauchy-Schwarz in two dimensions), so it is the tighter test.
 """
 
 from __future__ import annotations
@@ -29,7 +35,7 @@ SKETCH = ("unit", *(f"s{i}" for i in range(PLANES * WORDS)))
 
 def index_entries(vectors: DataFrame) -> DataFrame:
     entries = vectors.select("gid", *SKETCH, F.explode("prefix").alias("e"))
-    return entries.select("gid", *SKETCH, "e.gram_id", "e.tail")
+    return entries.select("gid", *SKETCH, "e.gram_id", "e.tail", "e.w", "e.rest")
 
 
 def _sketch_bound() -> str:
@@ -84,7 +90,7 @@ def candidate_pairs(
     met = left.join(
         right,
         F.expr(
-            f"""{on} and x.tail * y.tail > {threshold - _SLACK:.17e}D
+            f"""{on} and x.w * y.w + x.rest * y.rest > {threshold - _SLACK:.17e}D
             -- two early entries meet from both sides; one of the two is enough
             and (y.tail <= {early_tail:.17e}D or x.gid < y.gid)
             and {_sketch_bound()} > {threshold - _SLACK:.17e}D"""
