@@ -136,3 +136,29 @@ def dot_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("a"), batch.column("b"), pa.array(np.concatenate(parts), pa.float64())],
             names=["a", "b", "sim"],
         )
+
+
+def spanning_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The partition's edges as stars: each node to the smallest node it reaches here (hooking and pointer jumping)."""
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
+        return
+    table = pa.Table.from_batches(parts)
+    u, v = table.column("u").to_numpy(), table.column("v").to_numpy()
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u):]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        while True:
+            jumped = label[label]
+            if np.array_equal(jumped, label):
+                break
+            label = jumped
+        if np.array_equal(label, before):
+            break
+    moved = label != np.arange(len(nodes))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[label[moved]])], ["u", "v"])

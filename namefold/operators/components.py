@@ -2,6 +2,10 @@
 
 Kiveris et al., "Connected Components in MapReduce and Beyond", SoCC 2014. Edges are kept as
 ``(u, v)`` with ``u > v``. The smallest id of a component ends up as the label of all its nodes.
+
+Before the first round each partition's edges are replaced by a spanning forest of them, where they are: every node
+is linked to the smallest node of its component within the partition. Components are unchanged, a partition keeps
+at most one edge per node, and a dense family (a clique of near-copies) enters the rounds as a star.
 """
 
 from __future__ import annotations
@@ -9,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from namefold.functions.kernels import spanning_forest
 from namefold.workspace import Workspace
 
 
@@ -24,13 +29,20 @@ from {edges} e join {low} s on e.u = s.u
 """
 
 
+def local_forests(edges: DataFrame) -> DataFrame:
+    """``edges`` with each partition's edges replaced by a spanning forest of them; no exchange."""
+    return edges.select(F.col("u").cast("long"), F.col("v").cast("long")).mapInArrow(spanning_forest, "u bigint, v bigint")
+
+
 def connected_components(edges: DataFrame, ws: Workspace) -> DataFrame:
     """Labels ``(node, root)`` of all nodes that are not the smallest of their component.
 
     ``edges`` must be a written table. The driver only sees how many edges a round has moved.
     """
     spark = edges.sparkSession
-    current, owner, moved = edges, None, 1
+    forest = ws.scratch()
+    start, _ = forest.save(local_forests(edges), "forest")
+    current, owner, moved = start, forest, 1
     while moved:
         scratch = ws.scratch()
         low, _ = scratch.save(spark.sql(_LOWEST, edges=current), "lowest")

@@ -168,6 +168,18 @@ def test_components_match_union_find(spark, ws, seed):
     assert [got[i] for i in range(count)] == plain.roots(count, edges)
 
 
+def test_local_forests_keep_components_and_thin_cliques(spark, ws):
+    clique = [(i, j) for i in range(60) for j in range(i)]
+    chain = [(i + 1, i) for i in range(100, 400)]
+    frame, _ = ws.save(spark.createDataFrame(clique + chain, "u bigint, v bigint").repartition(3), "edges")
+    forest = components.local_forests(frame).collect()
+    assert len(forest) <= 3 * 59 + len(chain) and all(r.u > r.v for r in forest)  # a star per partition
+    assert plain.roots(401, {tuple(r) for r in forest}) == plain.roots(401, set(clique + chain))
+    labels = components.connected_components(frame, ws)
+    got = {r["id"]: r["root"] for r in components.component_labels(spark.range(401), labels).collect()}
+    assert [got[i] for i in range(401)] == plain.roots(401, set(clique + chain))
+
+
 def skew_splits(df):
     """Joins that adaptive execution split when the query ran."""
     df.count()
