@@ -12,9 +12,17 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 def _session_root(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder, or else a folder in its warehouse."""
+    """The session's shared checkpoint folder, or else a folder in its warehouse.
+
+    A warehouse on a machine-local file system is refused on a cluster: executors would not share it."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/namefold-work"
+    if configured:
+        return configured
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local_master = spark.sparkContext.master.startswith("local")
+    if not local_master and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise ValueError("set spark.checkpoint.dir to shared storage: the warehouse folder is on a local file system")
+    return f"{warehouse}/namefold-work"
 
 
 class Workspace:

@@ -185,3 +185,32 @@ def test_workspace_cleans_up(spark, tmp_path):
         assert seen == {"rows": 5} and kept.count() == 5
         assert list(tmp_path.iterdir())
     assert not list(tmp_path.iterdir())
+
+
+def test_workspace_refuses_a_local_warehouse_on_a_cluster(spark, monkeypatch):
+    from namefold import workspace
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        def __init__(self, warehouse):
+            self.conf = Conf({"spark.sql.warehouse.dir": warehouse})
+
+    with pytest.raises(ValueError):
+        workspace._session_root(Session("file:/tmp/warehouse"))
+    with pytest.raises(ValueError):
+        workspace._session_root(Session("/tmp/warehouse"))
+    assert workspace._session_root(Session("s3a://bucket/warehouse")) == "s3a://bucket/warehouse/namefold-work"
