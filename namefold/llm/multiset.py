@@ -4,7 +4,11 @@ A paragraph hashes to a wide vector of ``DIGESTS`` lanes modulo 2**64 and ``SHAP
 fingerprint is the lane-wise sum over its paragraphs. Sums do not depend on the order, and a paragraph is inserted
 or deleted by adding or subtracting its vector, without the rest of the document.
 
-* The digest lanes come from one cryptographic hash of the whole paragraph. They decide equality.
+* The digest lanes come from one cryptographic hash (BLAKE2b, 256 bits) of the whole paragraph, all its bytes. They
+  decide equality. Strength: the sum is taken lane by lane modulo 2**64, so two different multisets collide when some
+  sums of paragraph hashes agree in 256 bits; by chance that is about 2**-256 a pair, but a chosen-text attacker who
+  can add many paragraphs faces a k-sum problem (Wagner's tree algorithm), which is far cheaper than 2**128 for
+  large k. It is a fingerprint against accidental equality, not a commitment against adversaries.
 * The shape lanes are a signed count sketch of the windows of ``WINDOW`` bytes that end at each byte of the
   paragraph. Their inner product estimates that of the window counts, so the cosine of two fingerprints is a
   likeness of the texts, 1 for equal multisets, about the share of common windows otherwise.
@@ -71,13 +75,15 @@ def _shape(padded: bytes) -> np.ndarray:
 
 def fingerprint(text: str) -> Vector:
     """The sum of the vectors of all paragraphs."""
-    data = text.encode("utf-8", "surrogatepass").replace(b"\0", b"\1")
+    data = text.encode("utf-8", "surrogatepass")
     digest = np.zeros(DIGESTS, np.uint64)
     paragraphs = [p for p in data.split(b"\n") if p]
     for p in paragraphs:
         digest += np.frombuffer(hashlib.blake2b(p, digest_size=8 * DIGESTS).digest(), "<u8")
+    # Zero bytes mark the gaps of the sketch only; the digest above took the true bytes.
     gap = bytes(WINDOW)
-    return digest, _shape(gap + gap.join(paragraphs) if paragraphs else b"")
+    sketched = [p.replace(b"\0", b"\1") for p in paragraphs]
+    return digest, _shape(gap + gap.join(sketched) if sketched else b"")
 
 
 def insert(total: Vector, paragraph: str) -> Vector:

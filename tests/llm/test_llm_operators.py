@@ -184,6 +184,14 @@ def test_multiset_is_homomorphic():
     assert multiset.likeness(total, again) == 1.0
 
 
+def test_multiset_digests_true_bytes():
+    # NUL and SOH differ in the text, so the fingerprints differ; the sketch may treat them alike.
+    a, b = multiset.fingerprint("a\0b\nc"), multiset.fingerprint("a\1b\nc")
+    assert multiset.encoded(a) != multiset.encoded(b)
+    assert multiset.likeness(a, b) < 1.0 or not np.array_equal(a[0], b[0])
+    assert multiset.encoded(multiset.fingerprint("a\0b\nc")) == multiset.encoded(multiset.fingerprint("c\na\0b"))
+
+
 def test_multiset_edges(spark):
     found = rows(multiset.compared(plain.edge_docs(spark)))
     source = sorted(plain.edge_rows(), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
