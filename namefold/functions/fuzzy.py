@@ -30,3 +30,15 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
     total = F.length(key_a) + F.length(key_b)
     score = F.when(total == 0, F.lit(100.0)).otherwise(200.0 * lcs_length(key_a, key_b) / total)
     return F.coalesce(score, F.lit(0.0))
+
+
+def lcs_upper_bound(a: Column, b: Column) -> Column:
+    """An upper bound of the LCS length of two strings, native: the size of the multiset intersection of their
+    code points, sum over the distinct code points ``c`` of ``a`` of ``min(count_a(c), count_b(c))``. A common
+    subsequence uses each code point at most as often as either string holds it, so the LCS never exceeds it.
+    Null if either is null.
+    """
+    count = lambda s, c: F.length(s) - F.length(F.replace(s, c, F.lit("")))
+    points = F.array_distinct(F.regexp_extract_all(a, F.lit("(?s)."), 0))
+    shared = F.aggregate(points, F.lit(0), lambda acc, c: acc + F.least(count(a, c), count(b, c)))
+    return F.when(a.isNotNull() & b.isNotNull(), shared)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from namefold.functions.fuzzy import sorted_token_lcs
+from namefold.functions.fuzzy import lcs_upper_bound, sorted_token_lcs
 from namefold.operators.names import first_of_group
 
 
@@ -14,6 +14,11 @@ def anchor_verdicts(labels: DataFrame, members: DataFrame, min_score: int) -> Da
 
     Ids grow in anchor order, so the root of a component is its anchor. The score is the same for all
     names of a group. Compared as integers, so a score equal to the limit is exactly that.
+
+    Sure verdicts are decided natively, without the LCS kernel: a group whose code-point multiset intersection with
+    the anchor is already too small to reach ``min_score`` is weak, and one with the anchor's own key is not. Only
+    the others are sent to the kernel (decided rows pass it empty strings, which cost nothing); ``native`` marks the
+    rows decided without it. The verdicts are those of the kernel on every row.
     """
     keys = first_of_group(members).select("gid", "token_key")
     scored = (
@@ -23,11 +28,24 @@ def anchor_verdicts(labels: DataFrame, members: DataFrame, min_score: int) -> Da
         .select(
             "gid",
             "root",
-            sorted_token_lcs(F.col("anchor_key"), F.col("token_key")).alias("lcs"),
+            "anchor_key",
+            "token_key",
+            lcs_upper_bound(F.col("anchor_key"), F.col("token_key")).alias("bound"),
             (F.length("anchor_key") + F.length("token_key")).alias("total"),
         )
+        .withColumn("sure_weak", F.col("bound") * 200 < F.col("total") * min_score)
+        .withColumn("same", F.col("anchor_key") == F.col("token_key"))
+        .withColumn("native", F.coalesce(F.col("sure_weak") | F.col("same"), F.lit(False)))
+    )
+    open_a = F.when(~F.col("native"), F.col("anchor_key")).otherwise(F.lit(""))
+    open_b = F.when(~F.col("native"), F.col("token_key")).otherwise(F.lit(""))
+    lcs = sorted_token_lcs(open_a, open_b)
+    weak = (
+        F.when(F.col("sure_weak"), F.lit(True))
+        .when(F.col("same"), F.lit(False))
+        .otherwise(lcs * 200 < F.col("total") * min_score)
     )
-    return scored.select("gid", "root", (F.col("lcs") * 200 < F.col("total") * min_score).alias("weak"))
+    return scored.select("gid", "root", weak.alias("weak"), "native")
 
 
 def split_weak_members(members: DataFrame, verdicts: DataFrame) -> DataFrame:

@@ -137,3 +137,40 @@ def test_sketches_bound_the_exact_dot_products(grams):
         want = sum(w * dense[j].get(g, 0.0) for g, w in dense[i].items())
         assert dot == pytest.approx(want, abs=1e-12)
         assert (levels[i] * levels[j]).sum() >= want - 1e-9
+
+
+def test_lcs_upper_bound_holds_and_counts_code_points(spark):
+    rnd = np.random.default_rng(4)
+    alphabet = list("abcde ") + ["\U0001f600", "é"]
+    pairs = [("".join(rnd.choice(alphabet, rnd.integers(0, 12))), "".join(rnd.choice(alphabet, rnd.integers(0, 12))))
+             for _ in range(300)]
+    pairs += [("aab", "ab"), ("\U0001f600\U0001f600x", "x\U0001f600"), ("", ""), (None, "a"), ("a", None)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = [r[0] for r in df.select(fuzzy.lcs_upper_bound(F.col("a"), F.col("b"))).collect()]
+    for (a, b), bound in zip(pairs, got):
+        if a is None or b is None:
+            assert bound is None
+            continue
+        assert bound == sum(min(a.count(c), b.count(c)) for c in set(a))
+        assert bound >= plain.lcs(a, b)
+    assert got[300:303] == [2, 2, 0]
+
+
+def test_native_verdicts_equal_the_kernel(spark):
+    from namefold.operators import verify
+
+    rnd = np.random.default_rng(9)
+    keys = ["".join(rnd.choice(list("abcdefg "), rnd.integers(0, 10))) for _ in range(200)] + [None]
+    members = spark.createDataFrame(
+        [(i, i, 1, k, k) for i, k in enumerate(keys)], "gid long, id long, size int, token_key string, cleaned_name string"
+    )
+    roots = [(i, int(rnd.integers(0, i + 1))) for i in range(len(keys))]
+    labels = spark.createDataFrame(roots, "node long, root long")
+    for min_score in (0, 50, 65, 90, 100):
+        got = {r["gid"]: (r["weak"], r["native"]) for r in verify.anchor_verdicts(labels, members, min_score).collect()}
+        for gid, root in roots:
+            a, b = keys[root], keys[gid]
+            want = None if a is None or b is None else plain.lcs(a, b) * 200 < (len(a) + len(b)) * min_score
+            assert got[gid][0] == want, (a, b, min_score)
+        if min_score == 90:
+            assert 0 < sum(n for _, n in got.values()) < len(got)
