@@ -111,6 +111,28 @@ def test_word_encoder_on_hard_texts():
     assert [np.frombuffer(encoder.encode(t.encode()), "<u4").tolist() for t in texts] == _encoded(texts)
 
 
+def test_word_merges_equal_the_model(monkeypatch):
+    """The merge engine gives the model's ids for every vocabulary entry and random words, and a worker loads it once."""
+    vocabulary = queries.op_vocabulary()
+    work = token_orc.encoder(vocabulary, token_orc.END_ID)
+    assert work is token_orc.encoder(vocabulary, token_orc.END_ID) and work.merges is not None
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzßàéêöøÿ"
+    words = {t.removesuffix("</w>") for t in work.tokenizer.get_vocab()}
+    words = {w for w in words if w and all(c in letters for c in w)}
+    words |= {"".join(rng.choice(letters) for _ in range(rng.randint(1, 20))) for _ in range(3000)}
+    words |= {"".join(rng.sample(sorted(words), 2)) for _ in range(3000)}
+    words = sorted(w.encode() for w in words)
+    work.parts.clear()
+    work._heads(words)
+    fast = [work.parts[w] for w in words]
+    monkeypatch.setattr(work, "merges", None)
+    work.parts.clear()
+    work._heads(words)
+    assert fast == [work.parts[w] for w in words]
+    work.parts.clear()
+
+
 def test_token_files(spark, ws, tmp_path):
     path = f"{ws.path}/tokens"
     token_orc.write(plain.edge_docs(spark), path, queries.op_vocabulary())
