@@ -318,15 +318,22 @@ def components(docs: DataFrame, setting: SimHash, ws: Workspace, *carried: str)
     return rows.drop("_sim_sample").join(groups, prints, "left")
 
 
+_ROW_KEY = ["_sim_none", "_sim_id", "_sim_text"]
+
+
+def _row_key(rows: DataFrame) -> DataFrame:
+    """Adds the doc_id without nulls, and whether it was one."""
+    id_ = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0))
+    return rows.withColumn("_sim_none", F.col("doc_id").isNull()).withColumn("_sim_id", id_)
+
+
 def keep_one(docs: DataFrame, setting: SimHash, ws: Workspace) -> DataFrame:
     """One row of each group of near copies: the smallest doc_id, ties by a hash of the text."""
     own = docs.withColumn("_sim_text", F.xxhash64("text"))
     rows = components(own, setting, ws, "_sim_text")
     chosen = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_sim_text")
-    kept = rows.groupBy("root").agg(F.min(chosen).alias("k")).select(
-        F.col("k.doc_id").alias("_sim_id"), F.col("k._sim_text").alias("_sim_key")
-    )
-    kept, _ = ws.save(kept, "kept")
-    same = F.col("doc_id").eqNullSafe(F.col("_sim_id")) & (F.col("_sim_text") == F.col("_sim_key"))
-    found = own.join(kept, same, "left_semi")
-    return found.dropDuplicates(["doc_id", "_sim_text"]).select(*docs.columns)
+    kept = rows.groupBy("root").agg(F.min(chosen).alias("k"))
+    kept, _ = ws.save(_row_key(kept.select("k.doc_id", "k._sim_text")).select(*_ROW_KEY), "kept")
+    # Plain key columns: a join that deals the texts by them leaves nothing to exchange for the repeated rows.
+    found = _row_key(own).join(kept, _ROW_KEY, "left_semi")
+    return found.dropDuplicates(_ROW_KEY).select(*docs.columns)

@@ -110,3 +110,27 @@ def test_hard_rows(spark, tmp_path, keep):
         stage(spark, docs, SF_DIR).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
     assert (docs.count() > 0) == keep
+
+
+def test_near_copies_exchange_texts_once(spark, ws):
+    """A join that deals the texts by their key also brings repeated rows together; rows are as with a broadcast."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(20)) for i in range(6)]
+    rows = [(i % 5 if i else None, texts[i % 6]) for i in range(12)] + [(3, texts[3]), (None, texts[0]), (0, texts[0]), (9, None)]
+    docs = spark.createDataFrame([(d, t, f"s{k}") for k, (d, t) in enumerate(rows)], "doc_id long, text string, source string")
+    expected = sorted(((r.doc_id, r.text) for r in simhash.keep_one(docs, simhash.NEAR, ws).collect()), key=repr)
+    by_text = {}
+    for d, t in rows:
+        by_text.setdefault(t, []).append(d)
+    assert expected == sorted(((min((d for d in ids if d is not None), default=None), t) for t, ids in by_text.items()), key=repr)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = simhash.keep_one(docs, simhash.NEAR, ws)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2, plan
+        assert sorted(((r.doc_id, r.text) for r in found.collect()), key=repr) == expected
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
