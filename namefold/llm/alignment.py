@@ -11,6 +11,12 @@ B's ends (searching outward from the middle); the interval is split there and bo
 without an inner cut is a leaf group. Inside a group the overlapping A-B token pairs (the links) are enumerated by one
 sweep, ``|A| + |B| - 1`` of them.
 
+Words are where the dividing starts: in a text without runs of blanks or white space other than blanks and line breaks,
+neither tokenizer has a token across the start of a word (``_WORD``: a blank or line breaks, then the word), so every
+word ends at a shared cut, and its tokens, groups and links do not depend on its neighbours. Each worker aligns such a
+word once and keeps the outcome in a table of bounded size (``CACHE_WORDS``); all other texts, and words whose token bytes
+do not join to the word, are aligned as whole texts.
+
 Corpus counts: an id pair's count is the number of documents (rows) in which it is linked. Each row sends its distinct
 pairs with their multiplicity; counts are aggregated before the exchange and written. For each A id the highest count
 is taken; a link is *best* if its count equals it (ties included). Counts are joined back to the rows' pairs: pairs
@@ -25,6 +31,7 @@ documents; very long texts are one row of work; an empty table gives no rows; on
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,6 +47,8 @@ B_FILE = "piece_bpe_32k.model"
 HOT_KEYS = 1 << 16
 HOT_MIN = 1 << 10
 BATCH = 64  # texts encoded at once
+CACHE_WORDS = 300_000  # words whose alignment a worker keeps
+_WORD = re.compile(r"(?: |\n+)\S+")
 _ALIGNED = (
     "rid bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
     "pa array<int>, pb array<int>, pk array<int>"
@@ -107,6 +116,13 @@ class Aligner:
                 self.b_bytes.append(piece.replace("▁", " ").encode())
         self.a_sizes = np.array([len(b) for b in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(b) for b in self.b_bytes], np.int64)
+        # Words are independent in B if no piece has a blank after another character, or a line break beside one.
+        self.blank = self.b.piece_to_id("▁")
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.by_words = self.blank != self.b.unk_id() and not any(
+            "▁" in x.lstrip("▁") or "\n" in x or " " in x or self.b.is_unused(i) for i, x in enumerate(pieces)
+        )
+        self.words: dict[str, Word | None] = {}
 
     def ends(self, ids: np.ndarray, table: list[bytes], sizes: np.ndarray, target: bytes) -> np.ndarray | None:
         """End offsets of the tokens, or None if their bytes do not join to ``target``."""
@@ -115,6 +131,60 @@ class Aligner:
             return None
         return np.cumsum(lengths)
 
+    def rows(self, texts: list[str | None]) -> list["Word | None"]:
+        """The alignment of each text, from its words where they are independent; None if unaligned."""
+        split = [_WORD.findall(" " + t) if t and self.by_words else [] for t in texts]
+        # What is left out by the split, like a run of blanks, makes a text that is aligned whole.
+        split = [w if t and sum(map(len, w)) == len(t) + 1 else None for t, w in zip(texts, split)]
+        new = set().union(*(w for w in split if w)).difference(self.words)
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.words.clear()
+            new = set().union(*(w for w in split if w))
+        self._learn(list(new))
+        known = self.words
+        out: list = [None] * len(texts)
+        whole = []
+        for k, words in enumerate(split):
+            found = [known[w] for w in words] if words else [None]
+            if None in found:
+                whole.append(k)
+            else:
+                out[k] = _joined(found)
+        for k, found in zip(whole, self.align([texts[k] for k in whole])):
+            out[k] = found and _word(*found)
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        """Align words, strung together to one text; where their tokens do not tile them, in halves down to one word."""
+        if not new:
+            return
+        text = "".join(new)
+        target = text.encode()
+        ia = np.array(self.fast_a.encode_ordinary(text), np.int64)
+        ib = self.b.encode(text[1:] if text[0] == " " else text)
+        # Before a line break, the blank that B adds is left out.
+        ib = np.array(ib if text[0] == " " else ib[1:] if ib[:1] == [self.blank] else [], np.int64)
+        ea = self.ends(ia, self.a_bytes, self.a_sizes, target)
+        eb = self.ends(ib, self.b_bytes, self.b_sizes, target) if ea is not None else None
+        ends = np.cumsum([len(w.encode()) for w in new])
+        if eb is None or not (np.isin(ends, ea).all() and np.isin(ends, eb).all()):
+            half = len(new) // 2
+            if half:
+                self._learn(new[:half])
+                self._learn(new[half:])
+            else:
+                self.words[new[0]] = None
+            return
+        cuts = shared_cuts(ea, eb)
+        pieces = np.union1d(ea, eb)
+        texts = groups_string(ia, ib, ea, eb, cuts).split(";")
+        linked = _codes(ia, ib, ea, eb)
+        # The tokens, groups and links up to each word's end.
+        upto = [[0, *(np.searchsorted(x, ends) + 1).tolist()] for x in (ea, eb, cuts, pieces)]
+        for k, w in enumerate(new):
+            (a, a1), (b, b1), (g, g1), (n, n1) = (x[k : k + 2] for x in upto)
+            self.words[w] = a1 - a, b1 - b, g1 - g, n1 - n, ";".join(texts[g:g1]), linked[8 * n : 8 * n1]
+
     def align(self, texts: list[str | None]) -> list[tuple]:
         """Per text: n_a, n_b, groups (A ids, B ids per group) and links as (A id, B id) occurrences; None if unaligned."""
         out: list = [None] * len(texts)
@@ -203,6 +273,26 @@ def groups_string(ia: np.ndarray, ib: np.ndarray, ea: np.ndarray, eb: np.ndarray
     return "".join(pieces)
 
 
+# n_a, n_b, n_groups, n_links, the groups string, and the links as 64-bit integers, the A id in the upper half.
+Word = tuple[int, int, int, int, str, bytes]
+
+
+def _codes(ia: np.ndarray, ib: np.ndarray, ea: np.ndarray, eb: np.ndarray) -> bytes:
+    la, lb = links(ia, ib, ea, eb)
+    return ((la << 32) | lb).tobytes()
+
+
+def _word(ia: np.ndarray, ib: np.ndarray, ea: np.ndarray, eb: np.ndarray, cuts: np.ndarray) -> Word:
+    linked = _codes(ia, ib, ea, eb)
+    return len(ia), len(ib), len(cuts), len(linked) // 8, groups_string(ia, ib, ea, eb, cuts), linked
+
+
+def _joined(words: list[Word]) -> Word:
+    """The alignment of a text from those of its words in order."""
+    n_a, n_b, n_groups, n_links, texts, linked = zip(*words)
+    return sum(n_a), sum(n_b), sum(n_groups), sum(n_links), ";".join(texts), b"".join(linked)
+
+
 def groups_text(found: list[tuple[list[int], list[int]]]) -> str:
     return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in found)
 
@@ -213,19 +303,17 @@ def _aligned(a_path: str, b_path: str):
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH):
                 part = batch.slice(start, BATCH)
-                found = work.align(part.column("text").to_pylist())
+                found = work.rows(part.column("text").to_pylist())
                 cols: dict[str, list] = {k: [] for k in ("n_a", "n_b", "n_groups", "n_links", "sha", "pa", "pb", "pk")}
                 for f in found:
                     if f is None:
                         for k, v in zip(cols, (0, 0, 0, 0, "", [], [], [])):
                             cols[k].append(v)
                         continue
-                    ia, ib, ea, eb, cuts = f
-                    la, lb = links(ia, ib, ea, eb)
-                    pairs, times = np.unique((la << 32) | lb, return_counts=True)
-                    text = groups_string(ia, ib, ea, eb, cuts)
-                    for k, v in zip(cols, (len(ia), len(ib), len(cuts), len(la), hashlib.sha256(text.encode()).hexdigest(),
-                                           (pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist(), times.tolist())):
+                    n_a, n_b, n_groups, n_links, text, linked = f
+                    pairs, times = np.unique(np.frombuffer(linked, np.int64), return_counts=True)
+                    for k, v in zip(cols, (n_a, n_b, n_groups, n_links, hashlib.sha256(text.encode()).hexdigest(),
+                                           pairs >> 32, pairs & 0xFFFFFFFF, times)):
                         cols[k].append(v)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("rid"), part.column("doc_id"),

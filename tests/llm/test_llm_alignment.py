@@ -89,3 +89,26 @@ def test_groups_split_at_every_shared_end():
     ea, eb = [1, 3, 4, 6, 9], [2, 3, 6, 7, 8, 9]
     assert alignment.groups(ea, eb) == [(0, 2, 0, 2), (2, 4, 2, 3), (4, 5, 3, 6)]
     assert alignment.groups([5], [1, 2, 5]) == [(0, 1, 0, 3)]
+
+
+def test_words_equal_whole_texts(work, monkeypatch):
+    """Texts put together from aligned words equal texts aligned as a whole; the words are aligned once."""
+    rng = random.Random(11)
+    pieces = ["the", "The", "é", "e\u0301", "\u0301", "<|endoftext|>", "<s>", "</s>", "<0x0A>", "x", "42", "日本", "▁", "ab", ".", "'s",
+              "ﬁ", "\U0001f44d", "\u200b"]
+    blanks = ["\u00a0", "\t", "\x1c"]
+    texts = []
+    for _ in range(1500):
+        words = ["".join(rng.choices(pieces, k=rng.randint(1, 4))) for _ in range(rng.randint(1, 8))]
+        seps = rng.choices([" ", "\n", "\n\n"] if rng.random() < 0.7 else [" ", "  ", " \n", *blanks], k=len(words))
+        texts.append("".join(w + s for w, s in zip(words, seps)).rstrip(" \n" if rng.random() < 0.8 else "") or "a")
+    texts += [None, "", " ", "\n", "\na b", "a\n b", "a \nb"]
+    expected = [f and alignment._word(*f) for f in work.align(texts)]
+    monkeypatch.setattr(alignment, "CACHE_WORDS", 500)
+    work.words.clear()
+    whole = []
+    monkeypatch.setattr(work, "align", lambda t, f=work.align: whole.extend(t) or f(t))
+    got = [r for a in range(0, len(texts), 64) for r in work.rows(texts[a:a + 64])]
+    assert got == expected
+    assert 0 < len(whole) < len(texts) * 0.8 and work.words
+    work.words.clear()
