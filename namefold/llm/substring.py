@@ -1,20 +1,23 @@
 """Substring dedup: remove every word covered by a 50-word window that already stands in a document of smaller doc_id.
 
-Method: level-wise doubling.
+Method: level-wise doubling, with two levels grouped across documents.
 
 * A window of length ``L`` at word ``p`` has a 128-bit hash built from its two halves of length ``h = ceil(L/2)`` at
   ``p`` and ``p + L - h`` (overlapping when ``L`` is odd); one word's hash is its xxhash64 in two lanes. The hash
-  depends only on the word sequence, so equal windows have equal hashes wherever they stand.
-* Inside each document the hashes of all windows up to ``BASE`` words are doubled from words without any exchange.
-* A window is *repeated* if its hash stands in two documents of different doc_id. If a window of length ``2h`` stands in
-  documents ``d`` and ``d'``, both its halves stand in both, so only windows whose two halves are repeated are extended
-  to the next length; the rest are dropped for good. Levels go ``BASE``, 25, 50 until no candidate survives.
-* At 50 words a window whose hash has a smaller doc_id than its own document's is removed with all its words. Covered
-  words are the union of those windows; kept words are the gaps between their runs, sliced out of the word array.
+  depends only on the word sequence, so equal windows have equal hashes wherever they stand. The hashes are doubled
+  inside each document, in Arrow batches, without any exchange.
+* Exact copies of a text are one text from the start, with the smallest doc_id: all windows of the others stand there.
+* At ``BASE`` words only *marks* are grouped across documents: of all base windows inside a 50-word window, the first
+  with the smallest hash. The choice depends only on the words of the window, so a window that stands in two documents
+  has the same mark in both. A mark is *repeated* if its hash stands in two documents of different doc_id; windows whose
+  mark is not repeated stand in one document only and are dropped for good.
+* At 50 words the hashes of what is left are grouped: a window whose hash has a smaller doc_id than its own document's
+  is removed with all its words. Covered words are the union of those windows; the kept words are the others.
 
 Each level groups hashes (partial aggregation before the exchange), writes the groups, and joins them back to the
 positions: hashes standing more often than ``hot_at`` (at most ``HOT_KEYS`` of them, a proven bound) are broadcast,
 so a passage shared by a third of the corpus is no single task, and the others are joined by a plain exchange.
+Only texts with a repeated mark are read again as texts; all others keep their words, digested in the first pass.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]`` as they stand. Edge cases: null text has no words; a document of fewer than 50
 words has no window and keeps all; repeated rows with one doc_id do not remove each other (neither is smaller), but
@@ -26,17 +29,28 @@ Output per input row: doc_id, n_words, n_removed, kept_sha256 (kept words joined
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import hashlib
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from namefold.llm.words import SPACED_WORD
 from namefold.workspace import Workspace
 
 WINDOW = 50
 BASE = 13  # length of the first windows that are grouped across documents
 HOT_KEYS = 1 << 16  # hashes broadcast at most; a hash is hot if it stands more than total / HOT_KEYS times
 HOT_MIN = 1 << 10  # and more than this
-_SECOND = 0x2545F491  # salt of the second hash lane; a fixed value
+OUT_ROWS = 1 << 16  # rows of windows handed on at once
+_SEEDS = (42, 0x2545F491)  # of the two hash lanes; fixed values
+_HALVES = ((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), (0x165667B19E3779F9, 0xD6E8FEB86659FD93))  # odd constants
+_TEXT = ["ka", "kb"]  # two hashes of a text that name it
+
+Hashes = tuple[np.ndarray, np.ndarray]
 
 
 def chain(target: int = WINDOW) -> list[int]:
@@ -47,26 +61,146 @@ def chain(target: int = WINDOW) -> list[int]:
     return out[::-1]
 
 
-def _joined(x: Column, y: Column, length: int) -> Column:
-    parts = [x["a"], x["b"], y["a"], y["b"], F.lit(length)]
-    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(_SECOND), *parts).alias("b"))
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> np.uint64(33))
+    h = h * np.uint64(0xFF51AFD7ED558CCD)
+    h ^= h >> np.uint64(33)
+    h *= np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
+
+
+def _doubled(hashes: Hashes, length: int, half: int) -> Hashes:
+    """Hashes of all windows of ``length`` words from those of ``half`` words; each lane takes in both lanes."""
+    n, shift = len(hashes[0]) + half - length, length - half
+    a, b = hashes
+    out = []
+    for k, (one, two) in enumerate(_HALVES):
+        x, y = (a, b) if k == 0 else (b, a)
+        left = _mixed(x[:n] * np.uint64(one) + y[:n])
+        out.append(_mixed(left * np.uint64(two) + _mixed(x[shift:] + np.uint64(length)) + y[shift:] * np.uint64(one)))
+    return out[0], out[1]
+
+
+def _word_hashes(words: list[bytes]) -> Hashes:
+    place = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+    lanes = (partial(xxhash.xxh64_intdigest, seed=s) for s in _SEEDS)
+    a, b = (np.fromiter(map(f, place), np.uint64, len(place))[at] for f in lanes)
+    return a, b
+
+
+def _upto(hashes: Hashes, half: int, target: int, window: int) -> Hashes:
+    """Hashes of all windows of ``target`` words from those of ``half`` words, both in the chain of ``window``."""
+    for length in chain(window):
+        if half < length <= target:
+            hashes, half = _doubled(hashes, length, half), length
+    return hashes
+
+
+def _marks(hashes: np.ndarray, span: int) -> np.ndarray:
+    """For each ``span`` consecutive hashes, the place of the first smallest one."""
+    order = np.argsort(hashes, kind="stable")
+    rank = np.empty(len(hashes), np.int64)
+    rank[order] = np.arange(len(hashes))  # equal hashes ascend by place, so the first smallest has the smallest rank
+    best, width = rank, 1
+    while width < span:
+        step = min(width, span - width)
+        best = np.minimum(best[: len(best) - step], best[step:])
+        width += step
+    return order[best]
+
+
+def _base(window: int, base: int) -> int:
+    return next(x for x in chain(window) if x >= min(base, window))
+
+
+def _split(text: bytes | None) -> list[bytes]:
+    return (text or b"").split()  # bytes.split knows ASCII white space only, x09 to x0D and the blank
 
 
-def _doubled(shift: int, length: int):
-    return lambda i: _joined(F.col("h")[i], F.col("h")[i + shift], length)
+def _digest(words: list[bytes]) -> str:
+    return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _local_hashes(docs: DataFrame, upto: int) -> DataFrame:
-    """Adds ``h``: hashes of all windows of ``upto`` words of each document, doubled from its words in place.
+def _rows(docs: DataFrame, window: int, base: int) -> DataFrame:
+    """Per row: doc_id, ka, kb, n, digest of all words, hashes and places of its marks."""
 
-    Every length is its own projection, so each array is built once and read twice."""
-    one = F.transform("words", lambda w: F.struct(F.xxhash64(w).alias("a"), F.xxhash64(F.lit(_SECOND), w).alias("b")))
-    docs = docs.withColumn("h", one)
-    lengths = chain(upto)
-    for half, length in zip(lengths, lengths[1:]):
-        shift = length - half
-        docs = docs.withColumn("h", F.transform(F.sequence(F.lit(0), F.col("n") - length), _doubled(shift, length)))
-    return docs
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        length = _base(window, base)
+        for batch in batches:
+            n, digests, marks, places = [], [], [], []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
+                words = _split(text.as_py())
+                n.append(len(words))
+                digests.append(_digest(words))
+                if doc_id is None or len(words) < window:
+                    marks.append(None)
+                    places.append(None)
+                    continue
+                hashes = _upto(_word_hashes(words), 1, length, window)[0]
+                at = np.unique(_marks(hashes, window - length + 1))
+                marks.append(hashes[at].view(np.int64))
+                places.append(at)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", *_TEXT)), pa.array(n, pa.int32()), pa.array(digests, pa.string()),
+                 pa.array(marks, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
+                ["doc_id", *_TEXT, "n", "digest", "marks", "places"],
+            )
+
+    return docs.mapInArrow(run, "doc_id long, ka long, kb long, n int, digest string, marks array<long>, places array<int>")
+
+
+def _windows(opened: DataFrame, window: int, base: int) -> DataFrame:
+    """(rid, doc_id, pos, a, b) of the windows whose mark is one of ``places``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        length = _base(window, base)
+        found: list[tuple[np.ndarray, ...]] = []
+
+        def out() -> pa.RecordBatch:
+            columns = [pa.array(np.concatenate(x)) for x in zip(*found)]
+            found.clear()
+            return pa.RecordBatch.from_arrays(columns, ["rid", "doc_id", "pos", "a", "b"])
+
+        for batch in batches:
+            size = 0
+            ids = (batch.column(c).to_pylist() for c in ("rid", "doc_id"))
+            for rid, doc_id, text, places in zip(*ids, batch.column("text").cast(pa.binary()), batch.column("places")):
+                hashes = _upto(_word_hashes(_split(text.as_py())), 1, length, window)
+                # The marks are those of the first pass: both double the same words.
+                pos = np.flatnonzero(np.isin(_marks(hashes[0], window - length + 1), places.values.to_numpy()))
+                a, b = (x[pos].view(np.int64) for x in _upto(hashes, length, window, window))
+                found.append((np.full(len(pos), rid), np.full(len(pos), doc_id), pos.astype(np.int32), a, b))
+                size += len(pos)
+                if size > OUT_ROWS:
+                    yield out()
+                    size = 0
+            if found:
+                yield out()
+
+    return opened.select("rid", "doc_id", "text", "places").mapInArrow(run, "rid long, doc_id long, pos int, a long, b long")
+
+
+def _cut(texts: DataFrame, window: int) -> DataFrame:
+    """(rid, n_removed, kept) of texts without the words of the windows at ``starts``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            removed, digests = [], []
+            for text, starts in zip(batch.column("text").cast(pa.binary()), batch.column("starts")):
+                words = _split(text.as_py())
+                at = starts.values.to_numpy()
+                change = np.zeros(len(words) + 1, np.int64)
+                np.add.at(change, at, 1)
+                np.add.at(change, at + window, -1)
+                kept = np.flatnonzero(np.cumsum(change[:-1]) == 0).tolist()
+                removed.append(len(words) - len(kept))
+                digests.append(_digest([words[i] for i in kept]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rid"), pa.array(removed, pa.int64()), pa.array(digests, pa.string())], ["rid", "n_removed", "kept"]
+            )
+
+    return texts.select("rid", "text", "starts").mapInArrow(run, "rid long, n_removed long, kept string")
 
 
 def _attach(positions: DataFrame, keys: list[str], ws: Workspace, name: str) -> DataFrame:
@@ -79,71 +213,46 @@ def _attach(positions: DataFrame, keys: list[str], ws: Workspace, name: str) ->
     # Only hashes in two documents matter at any level: a removed window's hash has a smaller doc_id than its own.
     groups, seen = ws.save(groups.filter(F.col("first") < F.col("last")), name, total=F.sum("times"))
     hot_at = max(HOT_MIN, (seen["total"] or 0) // HOT_KEYS)
-    hot = groups.filter(F.col("times") > hot_at).drop("times")  # at most total / hot_at <= HOT_KEYS rows
-    cold = groups.filter(F.col("times") <= hot_at).drop("times")
+    hot = groups.filter(F.col("times") > hot_at).drop("times", "last")  # at most total / hot_at <= HOT_KEYS rows
+    cold = groups.filter(F.col("times") <= hot_at).drop("times", "last")
     met = positions.join(F.broadcast(hot), keys, "left")
     return met.filter(F.col("first").isNotNull()).unionByName(
-        met.filter(F.col("first").isNull()).drop("first", "last").join(cold, keys)
+        met.filter(F.col("first").isNull()).drop("first").join(cold, keys)
     )
 
 
-def removed_starts(docs: DataFrame, ws: Workspace, window: int = WINDOW, base: int = BASE) -> DataFrame:
-    """(rid, pos): starts of windows of ``window`` words that stand in a document of smaller doc_id."""
-    lengths = [x for x in chain(window) if x >= min(base, window)]
-    long_enough = docs.filter(F.col("doc_id").isNotNull() & (F.col("n") >= window))
-    # An outer explode: Spark infers no size filter for it, which would copy the hash arrays' expressions into a filter.
-    first = _local_hashes(long_enough, lengths[0]).select("rid", "doc_id", "n", F.posexplode_outer("h").alias("pos", "h"))
-    level = first.select("rid", "doc_id", "n", "pos", F.col("h.a").alias("a"), F.col("h.b").alias("b"))
-    for step, length in enumerate(lengths):
-        last = length == lengths[-1]
-        keys = ["a", "b"] if last else ["a"]
-        met = _attach(level, keys, ws, f"groups{length}")
-        if last:
-            return met.filter(F.col("doc_id") > F.col("first")).select("rid", "pos")
-        repeated, seen = ws.save(
-            met.select("rid", "doc_id", "n", "pos", "a", "b"),
-            f"repeated{length}",
-            rows=F.count(F.lit(1)),
-        )
-        if not seen["rows"]:
-            return repeated.select("rid", "pos").limit(0)
-        nxt = lengths[step + 1]
-        shift = nxt - length
-        x, y = repeated.alias("x"), repeated.alias("y")
-        joined = x.join(
-            y, (F.col("x.rid") == F.col("y.rid")) & (F.col("y.pos") == F.col("x.pos") + shift)
-        ).filter(F.col("x.pos") + nxt <= F.col("x.n"))
-        h = _joined(F.struct(F.col("x.a").alias("a"), F.col("x.b").alias("b")),
-                    F.struct(F.col("y.a").alias("a"), F.col("y.b").alias("b")), nxt)
-        level = joined.select(F.col("x.rid").alias("rid"), F.col("x.doc_id").alias("doc_id"), F.col("x.n").alias("n"),
-                              F.col("x.pos").alias("pos"), h.alias("h")).select(
-            "rid", "doc_id", "n", "pos", F.col("h.a").alias("a"), F.col("h.b").alias("b"))
-    raise AssertionError("unreachable")
-
-
 def dedup(docs: DataFrame, ws: Workspace, window: int = WINDOW, base: int = BASE) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 per input row; see the module docstring."""
-    words = F.coalesce(F.regexp_extract_all(F.col("text"), F.lit(SPACED_WORD), F.lit(0)), F.array().cast("array<string>"))
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("words"))
-    read = read.withColumn("rid", F.monotonically_increasing_id()).withColumn("n", F.size("words"))
-    stored, _ = ws.save(read, "words")
-    starts = removed_starts(stored, ws, window, base)
-    # Runs of starts closer than a window make one covered interval [a, b).
-    by_doc = Window.partitionBy("rid").orderBy("pos")
-    runs = starts.withColumn("new", F.coalesce(F.col("pos") - F.lag("pos").over(by_doc) > window, F.lit(True)))
-    runs = runs.withColumn("run", F.sum(F.col("new").cast("int")).over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = runs.groupBy("rid", "run").agg(F.min("pos").alias("a"), (F.max("pos") + window).alias("b"))
-    spans = spans.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans"))
-    out = stored.join(spans, "rid", "left").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<a:bigint,b:bigint>>")))
-    gaps = F.expr(
-        "transform(sequence(0, size(spans)), k -> named_struct("
-        "'s', cast(if(k = 0, 0, spans[k - 1].b) as int), 'e', cast(if(k = size(spans), n, spans[k].a) as int)))"
-    )
-    kept = F.flatten(F.transform(gaps, lambda g: F.slice("words", g["s"] + 1, F.greatest(g["e"] - g["s"], F.lit(0)))))
-    out = out.withColumn("kept", kept)
+    names = [F.xxhash64("text").alias("ka"), F.xxhash64(F.lit(_SEEDS[1]), "text").alias("kb")]
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *names)
+    rows, _ = ws.save(_rows(read, window, base), "rows")
+    # One row of each text, with the smallest doc_id that has it; a text's marks are the same in every row.
+    own = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") >= window))
+    texts = own.groupBy(*_TEXT).agg(F.min("doc_id").alias("doc_id"), F.min("marks").alias("marks"), F.min("places").alias("places"))
+    texts, _ = ws.save(texts.withColumn("rid", F.monotonically_increasing_id()), "texts")
+    marks = texts.select("rid", "doc_id", F.explode(F.arrays_zip("marks", "places")).alias("x"))
+    marks = marks.select("rid", "doc_id", F.col("x.places").alias("pos"), F.col("x.marks").alias("a"))
+    met = _attach(marks, ["a"], ws, "marks")
+    opened = texts.select("rid", "doc_id", *_TEXT).join(met.groupBy("rid").agg(F.collect_list("pos").alias("places")), "rid")
+    opened, _ = ws.save(opened, "opened")
+    # Repeated rows of one doc_id and text give the same windows again, so one of them goes on; the join's key brings
+    # them together, so that texts are not exchanged again.
+    key = ["doc_id", *_TEXT]
+    whole, _ = ws.save(read.join(opened, key).dropDuplicates(key).select("rid", "doc_id", "text", "places"), "whole")
+    windows, _ = ws.save(_windows(whole, window, base), "windows")
+    removed = _attach(windows, ["a", "b"], ws, "groups").filter(F.col("doc_id") > F.col("first"))
+    starts = removed.groupBy("rid").agg(F.collect_list("pos").alias("starts"))
+    cut = _cut(whole.select("rid", "text").join(starts, "rid"), window)
+    named = texts.select(*_TEXT, F.col("doc_id").alias("earliest"), "rid").join(cut, "rid", "left")
+    named, _ = ws.save(named.drop("rid"), "named")
+    out = rows.select("doc_id", *_TEXT, "n", "digest").join(named, _TEXT, "left")
+    n = F.col("n").cast("long")
+    # Rows without a doc_id keep all, also where another row has their text.
+    part = F.col("doc_id").isNotNull() & F.col("earliest").isNotNull()
+    copy = part & (F.col("doc_id") > F.col("earliest"))
     return out.select(
         "doc_id",
-        F.col("n").cast("long").alias("n_words"),
-        (F.col("n") - F.size("kept")).cast("long").alias("n_removed"),
-        F.sha2(F.array_join("kept", " "), 256).alias("kept_sha256"),
+        n.alias("n_words"),
+        F.when(copy, n).when(part, F.coalesce("n_removed", F.lit(0))).otherwise(0).cast("long").alias("n_removed"),
+        F.when(copy, _digest([])).when(part, F.coalesce("kept", "digest")).otherwise(F.col("digest")).alias("kept_sha256"),
     )

@@ -7,6 +7,7 @@ import random
 import re
 
 import llm_plain as plain
+import numpy as np
 import pytest
 from conftest import SF_DIR
 
@@ -85,3 +86,30 @@ def test_dedup_hard_rows_and_hot_passages(spark, ws, monkeypatch):
 def test_chain():
     assert substring.chain(50) == [1, 2, 4, 7, 13, 25, 50]
     assert substring.chain(1) == [1]
+
+
+@pytest.mark.parametrize("span", [1, 2, 5, 38])
+def test_marks_are_the_first_smallest(span):
+    rng = np.random.default_rng(span)
+    for top in (3, 1 << 60):
+        h = rng.integers(0, top, 400).astype(np.uint64)
+        got = substring._marks(h, span)
+        assert got.tolist() == [s + int(np.argmin(h[s:s + span])) for s in range(len(h) - span + 1)]
+
+
+def test_few_positions_are_exchanged(spark, ws, monkeypatch):
+    """Of texts without a common passage only marks are grouped, about one in 20 words, and copies go as one text."""
+    rng = random.Random(9)
+    texts = [" ".join(str(rng.randrange(10**9)) for _ in range(400)) for _ in range(30)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, texts[i]) for i in range(10)]
+    grouped = {}
+    attach = substring._attach
+
+    def counted(positions, keys, ws, name):
+        grouped[name] = positions.count()
+        return attach(positions, keys, ws, name)
+
+    monkeypatch.setattr(substring, "_attach", counted)
+    got = result(substring.dedup(spark.createDataFrame(rows, "doc_id long, text string"), ws))
+    assert got == plain_dedup(rows)
+    assert grouped["groups"] == 0 and 0 < grouped["marks"] < 30 * 400 / 10
