@@ -43,8 +43,8 @@ SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>"
 
 
 # A run of letters with one form each (a-z and lower-case Latin-1) at the start of a word, if an ASCII character other
-# than a letter or apostrophe follows, or nothing. The tokenizer always cuts there.
-_HEAD = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)(?=[!-&(-@\[-`{-~]|$)")
+# than a letter or apostrophe follows, or nothing. The tokenizer always cuts there. What follows is the rest; one word a line.
+_HEAD = re.compile(rb"^((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+(?=[!-&(-@\[-`{-~]|$))?(.*)$", re.MULTILINE)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -83,9 +83,9 @@ def _merges(model: dict, letters: dict[int, str]):
 class WordEncoder:
     """Ids of a text as little-endian 32-bit integers, by a tokenizer that drops white space between words.
 
-    Ids are kept per word and per leading run of plain letters; such a run needs no normalizing and is one unit of the
-    tokenizer, so only its merges are run, for all new runs of a text at once. Everything else goes through the whole
-    tokenizer.
+    Ids are kept per word. A leading run of plain letters needs no normalizing and is one unit of the tokenizer, so only
+    its merges are run, for all new words of a text at once. Everything else goes through the whole tokenizer, and its
+    ids are kept too.
     """
 
     def __init__(self, vocabulary: str, end_id: int = END_ID, limit: int = CACHE_WORDS):
@@ -113,31 +113,21 @@ class WordEncoder:
         return b"".join((*map(known.__getitem__, words), self.end))
 
     def _learn(self, new: list[bytes]) -> None:
-        known, parts = self.words, self.parts
-        if len(parts) + 2 * len(new) > self.limit:
-            parts.clear()
-        ends = [head.end() if head else 0 for head in map(_HEAD.match, new)]
-        heads = {w[:n] for w, n in zip(new, ends) if n}
-        self._heads([h for h in heads if h not in parts])
-        for w, n in zip(new, ends):
-            if not n:
-                known[w] = self._rest(w)
-            elif n == len(w):
-                known[w] = parts[w]
-            else:
-                known[w] = parts[w[:n]] + self._rest(w[n:])
-
-    def _heads(self, heads: list[bytes]) -> None:
+        if len(self.parts) + len(new) > self.limit:
+            self.parts.clear()
+        cut = _HEAD.findall(b"\n".join(new))
+        heads = iter(self._heads([head for head, _ in cut if head]))
+        for word, (head, rest) in zip(new, cut):
+            ids = next(heads) if head else b""
+            self.words[word] = ids + self._rest(rest) if rest else ids
+
+    def _heads(self, heads: list[bytes]) -> list[bytes]:
         if self.merges is None:
-            for h in heads:
-                text = h.decode("latin-1").translate(self.letters)
-                self.parts[h] = np.array([t.id for t in self.tokenizer.model.tokenize(text)], "<u4").tobytes()
-        elif heads:
-            ids = np.array(self.merges.encode_ordinary(b"\n".join((*heads, b"")).decode()), "<u4")
-            found, a = ids.tobytes(), 0
-            for h, b in zip(heads, (4 * np.flatnonzero(self.last[ids]) + 4).tolist()):
-                self.parts[h] = found[a:b]
-                a = b
+            texts = (h.decode("latin-1").translate(self.letters) for h in heads)
+            return [np.array([t.id for t in self.tokenizer.model.tokenize(x)], "<u4").tobytes() for x in texts]
+        ids = np.array(self.merges.encode_ordinary(b"\n".join((*heads, b"")).decode()), "<u4")
+        found, ends = ids.tobytes(), (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
+        return [found[a:b] for a, b in zip([0, *ends], ends)]
 
     def _rest(self, part: bytes) -> bytes:
         ids = self.parts.get(part)
