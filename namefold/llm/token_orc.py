@@ -5,8 +5,9 @@ doc_id; a reader takes stripes in parallel, and a lookup by id skips files and s
 groups by the row index, and the rest by Bloom filters. The whole texts are encoded after the one exchange, where
 they are written. ORC packs the ids with its own run-length encoding.
 
-The tokenizer drops white space between words, so a word's ids do not depend on its neighbours: each worker encodes
-a word once with the tokenizers library and keeps the ids in tables of bounded size (``CACHE_WORDS``).
+The tokenizer drops white space between words, so a word's ids do not depend on its neighbours: Arrow splits some
+megabytes of texts and numbers their distinct words, only those are encoded with the tokenizers library, and Arrow puts
+their ids back in the order of the words. A worker keeps the ids of earlier words in a table of bounded size (``CACHE_WORDS``).
 
 Nulls: a null text is an empty one, which has the end id only; documents without an id come first. Rows with the
 same id are ordered by text. Repeated rows are encoded again. Other columns are not written. An empty table gives no
@@ -16,18 +17,20 @@ rows.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 END_ID = 1
 CACHE_WORDS = 400_000
+SLICE_BYTES = 16 << 20  # text whose words are numbered at once, and one text more at most
+OUT_ROWS = 512  # rows sent back at once: ids are larger than texts
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1_000
 
@@ -43,8 +46,9 @@ SCHEMA = "doc_id bigint, n_tokens bigint, ids array<int>"
 
 
 # A run of letters with one form each (a-z and lower-case Latin-1) at the start of a word, if an ASCII character other
-# than a letter or apostrophe follows, or nothing. The tokenizer always cuts there. What follows is the rest; one word a line.
-_HEAD = re.compile(rb"^((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+(?=[!-&(-@\[-`{-~]|$))?(.*)$", re.MULTILINE)
+# than a letter or apostrophe follows, or nothing. The tokenizer always cuts there. What follows is the rest.
+_HEAD = r"^(?P<head>[a-zß-öø-ÿ]+)(?P<rest>(?:[!-&(-@\[-`{-~].*)?)$"
+_IDS = pa.list_(pa.int32())
 
 
 def _byte_letters() -> dict[int, str]:
@@ -80,60 +84,99 @@ def _merges(model: dict, letters: dict[int, str]):
     return tiktoken.Encoding("words", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={}), last
 
 
+def _cells(words: pa.StringArray) -> list[bytes]:
+    """Words without line breaks as a list; much faster than ``to_pylist``."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")[0].as_buffer().to_pybytes().split(b"\n")
+
+
+def _lists(rows: list[bytes]) -> pa.ListArray:
+    """Rows of little-endian 32-bit integers as lists."""
+    offsets = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), "<i4")))
+
+
+def _strung(lists: pa.ListArray, picks: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
+    """The lists numbered ``picks``, those between two ``offsets`` strung together to one."""
+    taken = lists.take(pa.array(picks))
+    return pa.ListArray.from_arrays(pa.array(taken.offsets.to_numpy()[offsets]), taken.values)
+
+
 class WordEncoder:
-    """Ids of a text as little-endian 32-bit integers, by a tokenizer that drops white space between words.
+    """Ids of texts, by a tokenizer that drops white space between words.
 
     Ids are kept per word. A leading run of plain letters needs no normalizing and is one unit of the tokenizer, so only
-    its merges are run, for all new words of a text at once. Everything else goes through the whole tokenizer, and its
-    ids are kept too.
+    its merges are run, for all new words at once. Everything else goes through the whole tokenizer, and its ids are
+    kept too.
     """
 
     def __init__(self, vocabulary: str, end_id: int = END_ID, limit: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.end = np.array([end_id], "<u4").tobytes()
+        self.end = pa.array([[end_id]], _IDS)
         self.limit = limit
-        self.words: dict[bytes, bytes] = {}
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], _IDS)
         self.parts: dict[bytes, bytes] = {}
         self.letters = _byte_letters()
         self.merges, self.last = _merges(json.loads(self.tokenizer.to_str())["model"], self.letters)
 
     def encode(self, text: bytes | None) -> bytes:
-        text = text or b""
+        """Ids of one text as little-endian 32-bit integers."""
+        return self.encode_all(pa.array([(text or b"").decode()])).values.to_numpy().astype("<i4").tobytes()
+
+    def encode_all(self, texts: pa.StringArray) -> pa.ListArray:
+        """Ids of each text, the end id after them."""
+        texts = texts.fill_null("")
         # Special tokens are found as they are written, so a text that may hold one keeps its capitals.
-        words = text.split() if b"<|" in text else text.lower().split()
-        known = self.words
-        new = set(words).difference(known)
-        if new:
-            if len(known) + len(new) > self.limit:
-                known.clear()
-                new = set(words)
-            self._learn(list(new))
-        return b"".join((*map(known.__getitem__, words), self.end))
-
-    def _learn(self, new: list[bytes]) -> None:
-        if len(self.parts) + len(new) > self.limit:
+        special, lower = pc.match_substring(texts, "<|"), pc.ascii_lower(texts)
+        split = pc.ascii_split_whitespace(pc.if_else(special, texts, lower) if special.true_count else lower)
+        coded = split.values.dictionary_encode()
+        lists, place = self._known(coded.dictionary)
+        ends = split.offsets.to_numpy()
+        picks = np.insert(place[coded.indices.to_numpy()], ends[1:], len(lists))
+        return _strung(pa.concat_arrays([lists, self.end]), picks, ends + np.arange(len(ends)))
+
+    def _known(self, words: pa.StringArray) -> tuple[pa.ListArray, np.ndarray]:
+        """Lists of ids, and which of them each of the distinct ``words`` has."""
+        found = pc.index_in(words, value_set=self.words)
+        new = words.filter(found.is_null())
+        lists = pa.concat_arrays([self.ids, self._learn(new)])
+        place = found.fill_null(-1).to_numpy().copy()
+        place[place < 0] = len(self.ids) + np.arange(len(new))
+        if len(lists) <= self.limit:
+            self.words, self.ids = pa.concat_arrays([self.words, new]), lists
+        else:
+            # The table begins again with the words just met.
+            self.words, self.ids = words[: self.limit], lists.take(pa.array(place[: self.limit]))
+        return lists, place
+
+    def _learn(self, new: pa.StringArray) -> pa.ListArray:
+        cut = pc.extract_regex(new, _HEAD)
+        heads = pc.struct_field(cut, "head").dictionary_encode()
+        rests = pc.if_else(cut.is_null(), new, pc.struct_field(cut, "rest")).dictionary_encode()
+        n = len(heads.dictionary)
+        if len(self.parts) + len(rests.dictionary) > self.limit:
             self.parts.clear()
-        cut = _HEAD.findall(b"\n".join(new))
-        heads = iter(self._heads([head for head, _ in cut if head]))
-        for word, (head, rest) in zip(new, cut):
-            ids = next(heads) if head else b""
-            self.words[word] = ids + self._rest(rest) if rest else ids
-
-    def _heads(self, heads: list[bytes]) -> list[bytes]:
-        if self.merges is None:
+        lists = [self._heads(_cells(heads.dictionary)), pa.array([[]], _IDS), _lists([self._rest(r) for r in _cells(rests.dictionary)])]
+        # A word without a head has the empty list in its place.
+        picks = np.stack([heads.indices.fill_null(n).to_numpy(), n + 1 + rests.indices.to_numpy()], axis=1).ravel()
+        return _strung(pa.concat_arrays(lists), picks, np.arange(0, 2 * len(new) + 1, 2))
+
+    def _heads(self, heads: list[bytes]) -> pa.ListArray:
+        if self.merges is None or not heads:
             texts = (h.decode("latin-1").translate(self.letters) for h in heads)
-            return [np.array([t.id for t in self.tokenizer.model.tokenize(x)], "<u4").tobytes() for x in texts]
-        ids = np.array(self.merges.encode_ordinary(b"\n".join((*heads, b"")).decode()), "<u4")
-        found, ends = ids.tobytes(), (4 * np.flatnonzero(self.last[ids]) + 4).tolist()
-        return [found[a:b] for a, b in zip([0, *ends], ends)]
+            return _lists([np.array([t.id for t in self.tokenizer.model.tokenize(x)], "<i4").tobytes() for x in texts])
+        ids = self.merges.encode_to_numpy(b"\n".join((*heads, b"")).decode(), disallowed_special=())
+        ends = np.flatnonzero(self.last[ids]) + 1
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids.astype(np.int32)))
 
     def _rest(self, part: bytes) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             found = self.tokenizer.encode(part.decode(), add_special_tokens=False).ids
-            self.parts[part] = ids = np.array(found, "<u4").tobytes()
+            self.parts[part] = ids = np.array(found, "<i4").tobytes()
         return ids
 
 
@@ -149,17 +192,16 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = encoder(vocabulary, end_id)
         for batch in batches:
-            # A few hundred texts at a time: the ids of a batch are larger than its texts.
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                rows = [work.encode(t) for t in part.column("text").cast(pa.binary()).to_pylist()]
-                lengths = np.array([len(r) // 4 for r in rows], np.int64)
-                offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-                ids = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(rows))])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(lengths), pa.ListArray.from_arrays(pa.array(offsets), ids)],
-                    ["doc_id", "n_tokens", "ids"],
-                )
+            if not batch.num_rows:
+                continue
+            passed = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy().astype(np.int64)) // SLICE_BYTES
+            starts = np.flatnonzero(np.diff(passed, prepend=-1)).tolist()
+            for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+                part = batch.slice(start, end - start)
+                ids = work.encode_all(part.column("text").cast(pa.string()))
+                lengths = pa.array(np.diff(ids.offsets.to_numpy()).astype(np.int64))
+                rows = pa.RecordBatch.from_arrays([part.column("doc_id"), lengths, ids], ["doc_id", "n_tokens", "ids"])
+                yield from (rows.slice(a, OUT_ROWS) for a in range(0, rows.num_rows, OUT_ROWS))
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
 

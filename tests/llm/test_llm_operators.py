@@ -12,6 +12,7 @@ import zlib
 import duckdb
 import llm_plain as plain
 import numpy as np
+import pyarrow as pa
 import pyarrow.orc as orc
 import pytest
 from conftest import SF_DIR
@@ -129,6 +130,26 @@ def test_word_merges_equal_the_model(monkeypatch):
     assert fast == work._heads(words)
 
 
+def test_words_are_met_once_a_slice(spark, ws, monkeypatch):
+    """Only distinct words of many texts are looked up, known ones are not encoded again, and slices change no ids."""
+    work = token_orc.WordEncoder(queries.op_vocabulary(), limit=40)
+    asked, learned, known, learn = [], [], work._known, work._learn
+    monkeypatch.setattr(work, "_known", lambda words: (asked.append(words.to_pylist()), known(words))[1])
+    monkeypatch.setattr(work, "_learn", lambda new: (learned.extend(new.to_pylist()), learn(new))[1])
+    texts = [" the  cat's The\tgarden. ", None, "", "the garden. " * 50, "cat's <|endoftext|> Garden."]
+    for found in (work.encode_all(pa.array(texts)), work.encode_all(pa.array(texts))):
+        assert found.to_pylist() == _encoded(texts)
+    assert all(len(words) == len(set(words)) < 10 for words in asked) and len(asked) == 2
+    assert sorted(learned) == sorted(asked[0])
+    many = [f"word{i} the {i}, garden" for i in range(200)]
+    assert work.encode_all(pa.array(many)).to_pylist() == _encoded(many) and len(work.words) <= 40
+    docs = spark.createDataFrame(list(enumerate(texts + many)), "doc_id bigint, text string").coalesce(1)
+    monkeypatch.setattr(token_orc, "SLICE_BYTES", 100)
+    monkeypatch.setattr(token_orc, "OUT_ROWS", 3)
+    found = token_orc.encode(docs, queries.op_vocabulary()).collect()
+    assert [(r.doc_id, r.n_tokens, r.ids) for r in found] == [(i, len(x), x) for i, x in enumerate(_encoded(texts + many))]
+
+
 def test_token_files(spark, ws, tmp_path):
     path = f"{ws.path}/tokens"
     token_orc.write(plain.edge_docs(spark), path, queries.op_vocabulary())
