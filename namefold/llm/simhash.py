@@ -277,25 +277,27 @@ def confirmed_edges(
     by the sets themselves until they are connected; a family of over ``size`` shingles is cut into blocks.
     """
     prints = [f"f{w}" for w in range(setting.words)]
-    linked = connected_components(candidates, ws)
-    family = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
-    members = nodes.join(family.select(F.col("node").alias("id"), F.col("root").alias("key")), "id")
-    members, _ = ws.save(members.select("id", *prints, "key", "sample"), "members")
-    # One row of each text; equal rows are reduced before the exchange.
-    texts = docs.select(F.xxhash64("text").alias("sample"), "text")
-    texts = texts.join(members.select("sample"), "sample", "left_semi").groupBy("sample").agg(F.first("text").alias("text"))
-    texts, _ = ws.save(texts, "texts")
-    columns = ["id", *prints, "key"]
-    kinds = ", ".join(f"{c} bigint" for c in [*columns, "size"])
-    sets = members.join(texts, "sample").select(*columns, "text")
-    sets, _ = ws.save(sets.mapInArrow(_shingle_sets(setting, columns), f"{kinds}, shingles array<bigint>"), "sets")
-    blocks = sets.groupBy("key").agg(F.ceil(F.sum("size") / (size or SET_BLOCK)).alias("blocks")).filter(F.col("blocks") > 1)
-    blocks, _ = ws.save(blocks, "large")
-    part = F.when(F.col("blocks").isNull(), F.array(F.lit(-1).cast("bigint"))).otherwise(_block_pairs(F.col("id"), F.col("blocks")))
-    groups = sets.join(blocks, "key", "left").withColumn("part", F.explode(part)).drop("size", "blocks")
-    groups = groups.repartition("key", "part").sortWithinPartitions("key", "part")
-    edges = groups.mapInArrow(_compare(setting, ["key", "part"], by_sets=True), "u bigint, v bigint")
-    return ws.save(edges.distinct(), "confirmed")[0]
+    with ws.scratch() as work:
+        linked = connected_components(candidates, work)
+        family = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
+        members = nodes.join(family.select(F.col("node").alias("id"), F.col("root").alias("key")), "id")
+        members, _ = work.save(members.select("id", *prints, "key", "sample"), "members")
+        # One row of each text; equal rows are reduced before the exchange.
+        texts = docs.select(F.xxhash64("text").alias("sample"), "text")
+        texts = texts.join(members.select("sample"), "sample", "left_semi").groupBy("sample").agg(F.first("text").alias("text"))
+        texts, _ = work.save(texts, "texts")
+        columns = ["id", *prints, "key"]
+        kinds = ", ".join(f"{c} bigint" for c in [*columns, "size"])
+        sets = members.join(texts, "sample").select(*columns, "text")
+        sets, _ = work.save(sets.mapInArrow(_shingle_sets(setting, columns), f"{kinds}, shingles array<bigint>"), "sets")
+        work.discard(texts)
+        blocks = sets.groupBy("key").agg(F.ceil(F.sum("size") / (size or SET_BLOCK)).alias("blocks")).filter(F.col("blocks") > 1)
+        blocks, _ = work.save(blocks, "large")
+        part = F.when(F.col("blocks").isNull(), F.array(F.lit(-1).cast("bigint"))).otherwise(_block_pairs(F.col("id"), F.col("blocks")))
+        groups = sets.join(blocks, "key", "left").withColumn("part", F.explode(part)).drop("size", "blocks")
+        groups = groups.repartition("key", "part").sortWithinPartitions("key", "part")
+        edges = groups.mapInArrow(_compare(setting, ["key", "part"], by_sets=True), "u bigint, v bigint")
+        return ws.save(edges.distinct(), "confirmed")[0]
 
 
 def components(docs: DataFrame, setting: SimHash, ws: Workspace, *carried: str) -> DataFrame:
@@ -330,10 +332,12 @@ def _row_key(rows: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, setting: SimHash, ws: Workspace) -> DataFrame:
     """One row of each group of near copies: the smallest doc_id, ties by a hash of the text."""
     own = docs.withColumn("_sim_text", F.xxhash64("text"))
-    rows = components(own, setting, ws, "_sim_text")
     chosen = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_sim_text")
-    kept = rows.groupBy("root").agg(F.min(chosen).alias("k"))
-    kept, _ = ws.save(_row_key(kept.select("k.doc_id", "k._sim_text")).select(*_ROW_KEY), "kept")
+    # Only the rows to keep outlive this call; the tables that led to them, texts and shingles among them, go.
+    with ws.scratch() as work:
+        rows = components(own, setting, work, "_sim_text")
+        kept = rows.groupBy("root").agg(F.min(chosen).alias("k"))
+        kept, _ = ws.save(_row_key(kept.select("k.doc_id", "k._sim_text")).select(*_ROW_KEY), "kept")
     # Plain key columns: a join that deals the texts by them leaves nothing to exchange for the repeated rows.
     found = _row_key(own).join(kept, _ROW_KEY, "left_semi")
     return found.dropDuplicates(_ROW_KEY).select(*docs.columns)

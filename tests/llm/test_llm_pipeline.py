@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 
@@ -134,3 +135,20 @@ def test_near_copies_exchange_texts_once(spark, ws):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_only_read_tables_stay(spark, ws, tmp_path, monkeypatch):
+    """The near-copy stage leaves its kept rows alone, and a run the rows of its last stage."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(4)]
+    texts += [t.replace("x30", "y") for t in texts[:2]] + [None, texts[3]]
+    docs = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    found = simhash.keep_one(docs, simhash.NEAR, ws)
+    assert [p.split("-", 1)[1] for p in os.listdir(ws.path.removeprefix("file:"))] == ["kept"]
+    assert triples(found.na.fill("")) == sorted((i, texts[i] or "", f"s{i}") for i in (0, 1, 2, 3, 6))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    steps = [(f"less{k}", lambda s, d, _, k=k: d.filter(F.col("doc_id") != k)) for k in (0, 1, 2)]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", steps)
+    left = corpus_pipeline.run(spark, str(tmp_path))
+    folder = os.path.dirname(os.path.dirname(left.inputFiles()[0].replace("file://", "")))
+    assert [p.split("-", 1)[1] for p in os.listdir(folder)] == ["less2"]
+    assert sorted(r.doc_id for r in left.collect()) == [3, 4, 5, 6, 7]
